@@ -668,11 +668,11 @@ mart_suspicious_transactions AS (
 
 add(
     "retention_expire",
-    [CUSTOMER_LOG],
-    """SELECT customer_id, _cdc_ts_ms, _kafka_offset, strftime(at, '%Y') AS year, strftime(at, '%m') AS month,
-       strftime(at, '%d') AS day
-FROM (SELECT *, make_timestamp(_cdc_ts_ms * 1000) AS at FROM customer_log)
-WHERE at >= DATE '2001-08-01' - 90""",
+    [ACCOUNT_LOG],
+    """SELECT account_id, _cdc_ts_ms, _kafka_offset, strftime(happened, '%Y') AS year,
+       strftime(happened, '%m') AS month, strftime(happened, '%d') AS day
+FROM (SELECT *, make_timestamp(_cdc_ts_ms * 1000) AS happened FROM account_log)
+WHERE happened >= DATE '2031-01-08' - 2555""",
 )
 
 

@@ -82,7 +82,8 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
         .orderBy("_micros")
         .rangeBetween(-c.rolling_micros, Window.currentRow)
     )
-    per_day = rows.withColumns(
+    # one exchange on the account satisfies the three kinds of window below
+    per_day = rows.repartition(c.account).withColumns(
         {
             "_same_day": F.count(F.lit(1)).over(day),
             "_day_opens": (F.row_number().over(day.orderBy("_micros")) == 1)
@@ -149,9 +150,7 @@ def _rolling_by_marks(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matches = F.col(c.account).eqNullSafe(F.col("_before_key")) & (
-        F.col(SLOT) == F.col("_before_slot")
-    )
+    matches = (F.col(c.account) == F.col("_before_key")) & (F.col(SLOT) == F.col("_before_slot"))
     return (
         marks.withColumn("_inside", F.sum("_step").over(in_slot))
         .filter("_step > 0")
@@ -181,11 +180,9 @@ def _heavy(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -> DataFrame
         .select("_day_key", "_day_of", "_same_day", _daily(F.col("_total"), F.col("_days")).alias("_daily"))
     )
     rolling = _rolling_by_marks(rows, c, policy)
-    same_account = F.col(c.account).eqNullSafe(F.col("_account"))
-    same_day = F.col(c.account).eqNullSafe(F.col("_day_key")) & F.col("_day").eqNullSafe(
-        F.col("_day_of")
-    )
-    same_instant = F.col(c.account).eqNullSafe(F.col("_instant_key")) & F.col("_micros").eqNullSafe(
+    same_account = F.col(c.account) == F.col("_account")
+    same_day = (F.col(c.account) == F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
+    same_instant = (F.col(c.account) == F.col("_instant_key")) & F.col("_micros").eqNullSafe(
         F.col("_instant")
     )
     return (

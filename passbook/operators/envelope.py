@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passbook.contracts import PARTITION_COLUMNS, PERSONAL_COLUMNS, SOURCE_TABLES, envelope_schema
+from passbook.contracts import PERSONAL_COLUMNS, SOURCE_TABLES, envelope_schema
 from passbook.functions.scalars import any_set, last_segment, millis_to_utc, text_token
 
 UNPARSED = "_unparsed"
@@ -29,6 +29,32 @@ def of_table(messages: DataFrame, table: str) -> DataFrame:
     return messages.filter(last_segment(F.col("topic")) == table)
 
 
+def _parsed_once(messages: DataFrame, parsed: Column, table: str, unreadable) -> DataFrame:
+    """Add ``envelope`` and ``undecodable`` from a parse expression.
+
+    The parse runs below an ``explode`` of one element: the optimizer copies a plain column's
+    expression into every filter and column that uses it, and would parse each message many times.
+    An image without any value counts as absent.
+    """
+    names = SOURCE_TABLES[table].fieldNames()
+
+    def image(e: Column, side: str) -> Column:
+        return F.when(any_set([e[side][n] for n in names]), e[side]).alias(side)
+
+    def tidy(e: Column) -> Column:
+        envelope = F.struct(
+            image(e, "before"),
+            image(e, "after"),
+            e["op"].alias("op"),
+            e["source"].alias("source"),
+            e["ts_ms"].alias("ts_ms"),
+        )
+        return F.struct(envelope.alias("envelope"), unreadable(e).alias("undecodable"))
+
+    one = F.explode(F.transform(F.array(parsed), tidy)).alias("_one")
+    return messages.select("*", one).select(*messages.columns, "_one.envelope", "_one.undecodable")
+
+
 def decode_json(messages: DataFrame, table: str) -> DataFrame:
     """Add ``envelope`` and ``undecodable`` to messages whose value is JSON text."""
     schema = T.StructType(
@@ -36,28 +62,22 @@ def decode_json(messages: DataFrame, table: str) -> DataFrame:
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNPARSED}
     parsed = F.from_json(F.col("value").cast("string"), schema, options)
-    return (
-        messages.withColumn("envelope", parsed)
-        .withColumn(
-            "undecodable",
-            F.col("envelope").isNull() | F.col(f"envelope.{UNPARSED}").isNotNull(),
-        )
-        .withColumn("envelope", F.col("envelope").dropFields(UNPARSED))
+    return _parsed_once(
+        messages, parsed, table, lambda e: e.isNull() | e[UNPARSED].isNotNull()
     )
 
 
-def decode_avro(messages: DataFrame, avro_schema: str) -> DataFrame:
+def decode_avro(messages: DataFrame, table: str, avro_schema: str) -> DataFrame:
     """Add ``envelope`` and ``undecodable`` to messages in registry wire format.
 
     The first five bytes (marker and schema id) are not part of the Avro body. Needs Spark's
-    ``spark-avro`` module on the class path.
+    ``spark-avro`` module on the class path. Bind ``avro_schema`` to pass this as ``decode``.
     """
     from pyspark.sql.avro.functions import from_avro
 
     body = F.expr("substring(value, 6, length(value) - 5)")
-    return messages.withColumn(
-        "envelope", from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
-    ).withColumn("undecodable", F.col("envelope").isNull() | F.col("envelope.op").isNull())
+    parsed = from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
+    return _parsed_once(messages, parsed, table, lambda e: e.isNull() | e["op"].isNull())
 
 
 def dead_letters(decoded: DataFrame) -> DataFrame:
@@ -114,13 +134,8 @@ def event_millis() -> Column:
 def flatten(decoded: DataFrame, table: str) -> DataFrame:
     """One landing row per envelope: the after image (before image for deletes) and lineage."""
     names = SOURCE_TABLES[table].fieldNames()
-
-    def has(image: str) -> Column:
-        return any_set([F.col(f"envelope.{image}.{n}") for n in names])
-
-    after_counts = has("after")
     columns = [
-        F.when(after_counts, F.col(f"envelope.after.{n}"))
+        F.when(F.col("envelope.after").isNotNull(), F.col(f"envelope.after.{n}"))
         .otherwise(F.col(f"envelope.before.{n}"))
         .alias(n)
         for n in names
@@ -134,7 +149,7 @@ def flatten(decoded: DataFrame, table: str) -> DataFrame:
         *columns,
         F.coalesce(F.col("envelope.op"), F.lit("")).alias("_cdc_op"),
         event_millis().alias("_cdc_ts_ms"),
-        F.when(has("before"), before_text).alias("_cdc_before"),
+        F.when(F.col("envelope.before").isNotNull(), before_text).alias("_cdc_before"),
         F.col("topic").alias("_kafka_topic"),
         F.col("partition").cast("int").alias("_kafka_partition"),
         F.col("offset").cast("bigint").alias("_kafka_offset"),
@@ -145,8 +160,9 @@ def with_partitions(landing: DataFrame) -> DataFrame:
     """Add year, month, day, hour of the event time in UTC; wall clock where there is none."""
     event = millis_to_utc(F.nullif(F.col("_cdc_ts_ms"), F.lit(0)))
     at = F.coalesce(event, F.current_timestamp().cast("timestamp_ntz"))
-    patterns = dict(zip(PARTITION_COLUMNS, ["yyyy", "MM", "dd", "HH"]))
-    return landing.withColumns({name: F.date_format(at, p) for name, p in patterns.items()})
+    stamped = landing.withColumn("_hour", F.date_format(at, "yyyyMMddHH"))
+    pieces = {"year": (1, 4), "month": (5, 2), "day": (7, 2), "hour": (9, 2)}
+    return stamped.withColumns({k: F.substring("_hour", *v) for k, v in pieces.items()}).drop("_hour")
 
 
 def landing_rows(decoded: DataFrame, table: str, salt: str) -> DataFrame:

@@ -43,9 +43,12 @@ def change_points(
     policy: SkewPolicy = DEFAULT_POLICY,
     keep_slot: bool = False,
 ) -> DataFrame:
-    """Events that changed a tracked column, compared with the previous event of the key."""
+    """Events that changed a tracked column, compared with the previous event of the key.
+
+    Uses the slots of ``log`` if it carries them; ``keep_slot`` hands them on.
+    """
     order = [time, *POSITION]
-    slotted = with_slot(log, key, F.col(time), policy)
+    slotted = log if SLOT in log.columns else with_slot(log, key, F.col(time), policy)
 
     # last state of every slot, offered to the next slot of the same key
     slot_end = (
@@ -65,7 +68,7 @@ def change_points(
         F.row_number().over(in_slot).alias("_nth"),
         *[F.lag(c).over(in_slot).alias(f"_lag_{c}") for c in tracked],
     )
-    matches = F.col(key).eqNullSafe(F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
+    matches = (F.col(key) == F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
     with_previous = walked.join(slot_end, matches, "left").withColumns(
         {
             f"_prev_{c}": F.when(F.col("_nth") == 1, F.col(f"_carry.{c}")).otherwise(
@@ -74,7 +77,7 @@ def change_points(
             for c in tracked
         }
     )
-    columns = log.columns + ([SLOT] if keep_slot else [])
+    columns = [c for c in log.columns if c != SLOT] + ([SLOT] if keep_slot else [])
     return with_previous.filter(_is_change(tracked)).select(*columns)
 
 
@@ -115,7 +118,7 @@ def version_intervals(
         F.lead(time).over(in_slot).alias("_next_in_slot"),
         F.row_number().over(in_slot).alias("_nth"),
     )
-    matches = F.col(key).eqNullSafe(F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
+    matches = (F.col(key) == F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
     closes_at = F.coalesce(F.col("_next_in_slot"), F.col("_next_slot_start"))
     payload = [c for c in changes.columns if c not in (SLOT, time, *POSITION)]
     return numbered.join(slots, matches, "left").select(
@@ -181,7 +184,7 @@ def as_of(
         .orderBy("_at", "_seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matches = (F.col("_line_key").eqNullSafe(F.col("_carry_key"))) & (
+    matches = (F.col("_line_key") == F.col("_carry_key")) & (
         F.col(SLOT) == F.col("_carry_slot")
     )
     seen = F.coalesce(F.col("_last"), F.col("_carry"))

@@ -35,9 +35,13 @@ DEFAULT_POLICY = SkewPolicy()
 
 
 def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
-    """The at most ``policy.max_keys`` heaviest keys with their row count and order range."""
+    """The at most ``policy.max_keys`` heaviest keys with their row count and order range.
+
+    A null key, which the ledger's contracts forbid, is never among them.
+    """
     return (
-        df.groupBy(F.col(key).alias("_key"))
+        df.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.min(order).cast("double").alias("_low"),
@@ -52,7 +56,7 @@ def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> Da
 
 def with_heavy_range(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
     """Add ``_rows``, ``_low``, ``_high`` of the row's key; ``_rows`` is null for ordinary keys."""
-    return df.join(F.broadcast(heavy), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return df.join(F.broadcast(heavy), F.col(key) == F.col("_key"), "left").drop("_key")
 
 
 def slot_number(order: Column, policy: SkewPolicy) -> Column:

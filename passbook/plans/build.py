@@ -56,7 +56,7 @@ def build_models(
     """
     m: dict[str, DataFrame] = {}
     m["stg_customers"] = view("stg_customers", staging.stg_customers(landing["customers"]))
-    m["stg_accounts"] = view("stg_accounts", staging.stg_accounts(landing["accounts"]))
+    m["stg_accounts"] = view("stg_accounts", staging.stg_accounts(landing["accounts"], policy))
     m["stg_transactions"] = view(
         "stg_transactions", staging.stg_transactions(landing["transactions"])
     )

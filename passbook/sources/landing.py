@@ -42,23 +42,26 @@ def scan(
 def write_rows(rows: DataFrame, base: str, table: str, batch: str | None = None) -> None:
     """Add rows below their hour folders, in a ``batch=`` folder of this write.
 
-    Writing the same batch again replaces exactly its own folders, so a repeated write adds
-    nothing; other batches are untouched. Without ``batch`` the write gets a new name. The
-    rebalance hint gathers an hour into few files and splits an hour that is too large.
+    With ``batch``, writing the same batch again replaces exactly its own folders, so a repeated
+    write adds nothing; other batches are untouched. Without it the rows are appended under a new
+    name, which spares the replacement of folders one by one. The rebalance hint gathers an hour
+    into few files and splits an hour that is too large.
     """
-    (
+    writer = (
         rows.withColumn(BATCH, F.lit(batch or uuid.uuid4().hex))
         .hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS, BATCH)
-        .parquet(table_path(base, table))
+        .write.partitionBy(*PARTITION_COLUMNS, BATCH)
     )
+    if batch is None:
+        writer = writer.mode("append")
+    else:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(table_path(base, table))
 
 
 def compact(spark: SparkSession, base: str, table: str, target: str, **days: str) -> None:
     """Rewrite a range of days into well-sized files below another base path."""
-    write_rows(scan(spark, base, table, **days), target, table, batch="compacted")
+    write_rows(scan(spark, base, table, **days), target, table)
 
 
 def partition_files(spark: SparkSession, base: str, table: str) -> DataFrame:

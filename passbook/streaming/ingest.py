@@ -24,9 +24,8 @@ DEAD_LETTERS = "_dead_letters"
 def ingest_batch(messages: DataFrame, table: str, base: str, salt: str, decode=decode_json) -> None:
     """One-off load: append the rows of one table, and its dead letters, to the landing zone."""
     decoded = decode(drop_tombstones(of_table(messages, table)), table)
-    batch = uuid.uuid4().hex
-    write_rows(landing_rows(decoded, table, salt), base, table, batch)
-    write_dead_letters(decoded, base, table, batch)
+    write_rows(landing_rows(decoded, table, salt), base, table)
+    write_dead_letters(decoded, base, table, uuid.uuid4().hex)
 
 
 def write_dead_letters(decoded: DataFrame, base: str, table: str, batch: str) -> None:

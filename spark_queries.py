@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ANCHOR = "2024-01-15"
+AS_OF = "2031-01-08"  # expires the first ten days of the events under seven years
 FLAGGED_AT = "2024-02-01 00:00:00"
 # Treats nearly every account as heavy and cuts it into many slots, to exercise that path.
 SPLIT = SkewPolicy(min_rows=20, max_keys=1000, slot_rows=7)
@@ -79,7 +80,7 @@ def account_changes(spark, sf):
 
 
 def _scd2(spark, sf, **options):
-    return marts.dim_accounts(staging.stg_accounts(fx.account_log(spark, sf)), **options)
+    return marts.dim_accounts(staging.stg_accounts(fx.account_log(spark, sf), **options))
 
 
 @query
@@ -95,7 +96,8 @@ def scd2_accounts_split(spark, sf):
 def _as_of(spark, sf, **options):
     facts = fx.facts(spark, sf).select("transaction_id", "from_account_id", "created_at", "amount")
     take = ["version_number", "balance", "valid_from", "valid_to"]
-    return history.as_of(facts, _scd2(spark, sf), "from_account_id", "created_at", take, **options)
+    versions = stored(_scd2(spark, sf), "dim_accounts")
+    return history.as_of(facts, versions, "from_account_id", "created_at", take, **options)
 
 
 @query
@@ -122,15 +124,14 @@ def dim_date(spark, sf):
     return calendar.dim_date(spark, ANCHOR).join(per_day, "date_id", "left")
 
 
-def _fact(spark, sf, account=None):
-    return marts.fact_transactions(
-        staging.stg_transactions(fx.transaction_log(spark, sf, account)), _scd2(spark, sf)
-    )
+def _fact(spark, sf, accounts, account=None):
+    log = fx.transaction_log(spark, sf, account)
+    return marts.fact_transactions(staging.stg_transactions(log), accounts)
 
 
 @query
 def fact_transactions(spark, sf):
-    return _fact(spark, sf)
+    return _fact(spark, sf, _scd2(spark, sf))
 
 
 # --- activity and rules ----------------------------------------------------------------------
@@ -212,9 +213,10 @@ def _all_flags(by_user: DataFrame, by_mod10: DataFrame) -> DataFrame:
 
 @query
 def suspicious_transactions(spark, sf):
-    """From landing rows to flags, with the fact tables stored in between."""
-    by_user = stored(_fact(spark, sf), "fact")
-    by_mod10 = stored(_fact(spark, sf, _mod10()), "fact")
+    """From landing rows to flags, with the marts stored in between."""
+    accounts = stored(_scd2(spark, sf), "dim_accounts")
+    by_user = stored(_fact(spark, sf, accounts), "fact")
+    by_mod10 = stored(_fact(spark, sf, accounts, _mod10()), "fact")
     return rules.with_flag_key(_all_flags(by_user, by_mod10)).drop("flagged_at")
 
 
@@ -369,7 +371,7 @@ def stream_ingest(spark, sf):
     base = fresh_path(spark, "stream")
     raw = fx.account_messages(spark, sf)
     again = raw.filter(F.col("offset") % 7 == 0)
-    raw.unionByName(again).repartition(4).write.parquet(f"{base}/messages")
+    raw.unionByName(again).repartitionByRange(4, "offset").write.parquet(f"{base}/messages")
     source = sources.file_stream(spark, f"{base}/messages", files_per_batch=2)
     job = ingest.start_ingest(
         source, "accounts", f"{base}/landing", f"{base}/checkpoint", fx.SALT, "s1", available_now=True
@@ -461,13 +463,12 @@ def dq_gate(spark, sf):
 
 @query
 def retention_expire(spark, sf):
-    """Customer events older than ninety days before the last one are gone from the landing zone."""
+    """Day folders older than seven years are gone from the landing zone."""
     base = fresh_path(spark, "landing")
-    log = envelope.with_partitions(fx.customer_log(spark, sf))
-    landing.write_rows(log, base, "customers")
-    governance.expire(spark, base, "customers", "2001-08-01")
-    rows = landing.scan(spark, base, "customers")
-    return rows.select("customer_id", "_cdc_ts_ms", "_kafka_offset", "year", "month", "day")
+    landing.write_rows(envelope.with_partitions(fx.account_log(spark, sf)), base, "accounts")
+    governance.expire(spark, base, "accounts", AS_OF)
+    rows = landing.scan(spark, base, "accounts")
+    return rows.select("account_id", "_cdc_ts_ms", "_kafka_offset", "year", "month", "day")
 
 
 @query
@@ -475,7 +476,7 @@ def retention_report(spark, sf):
     day = governance.event_day(F.col("_cdc_ts_ms"))
     sources_ = [
         ("customers", fx.customer_log(spark, sf), "2001-08-01", 90),
-        ("accounts", fx.account_log(spark, sf), "2031-01-08", 7 * 365),
+        ("accounts", fx.account_log(spark, sf), AS_OF, 7 * 365),
     ]
     return reduce(
         DataFrame.unionByName,
