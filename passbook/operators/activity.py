@@ -163,33 +163,44 @@ def _rolling_by_marks(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -
     )
 
 
-def _heavy(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -> DataFrame:
-    accounts = rows.groupBy(F.col(c.account).alias("_account")).agg(
-        _mean(F.sum(c.amount), F.count(c.amount)).alias("_mean"),
-        F.stddev_pop(F.col(c.amount).cast("double")).alias("_deviation"),
+def _per_day(rows: DataFrame, c: ActivityColumns) -> DataFrame:
+    """(account, day) → count of the day and statistics of the account.
+
+    Rows are aggregated per day before any shuffle; the account's statistics are then put together
+    from its days, at most one row per calendar day. Deviation: the days' own squared deviations
+    plus those of the day means around the account mean.
+    """
+    amount = F.col(c.amount).cast("double")
+    account = Window.partitionBy("_day_key")
+    days = rows.groupBy(F.col(c.account).alias("_day_key"), F.col("_day").alias("_day_of")).agg(
+        F.count(F.lit(1)).alias("_same_day"),
+        F.count(c.amount).alias("_n"),
+        F.sum(c.amount).alias("_total"),
+        F.avg(amount).alias("_day_mean"),
+        F.var_pop(amount).alias("_day_variance"),
     )
-    days = (
-        rows.groupBy(F.col(c.account).alias("_day_key"), F.col("_day").alias("_day_of"))
-        .agg(F.count(F.lit(1)).alias("_same_day"))
-        .withColumns(
-            {  # at most one row per calendar day in each of these groups
-                "_total": F.sum("_same_day").over(Window.partitionBy("_day_key")),
-                "_days": F.count("_day_of").over(Window.partitionBy("_day_key")),
-            }
-        )
-        .select("_day_key", "_day_of", "_same_day", _daily(F.col("_total"), F.col("_days")).alias("_daily"))
+    with_mean = days.withColumns(
+        {
+            "_all_n": F.sum("_n").over(account),
+            "_mean": _mean(F.sum("_total").over(account), F.sum("_n").over(account)),
+            "_daily": _daily(F.sum("_same_day").over(account), F.count("_day_of").over(account)),
+        }
+    )
+    squares = F.col("_n") * (
+        F.col("_day_variance") + F.pow(F.col("_day_mean") - F.col("_mean"), F.lit(2.0))
     )
-    rolling = _rolling_by_marks(rows, c, policy)
-    same_account = F.col(c.account) == F.col("_account")
+    return with_mean.withColumn(
+        "_deviation", F.sqrt(F.sum(squares).over(account) / F.col("_all_n"))
+    ).select("_day_key", "_day_of", "_same_day", "_mean", "_deviation", "_daily")
+
+
+def _heavy(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -> DataFrame:
     same_day = (F.col(c.account) == F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
     same_instant = (F.col(c.account) == F.col("_instant_key")) & F.col("_micros").eqNullSafe(
         F.col("_instant")
     )
-    return (
-        # one row per heavy key, hence at most policy.max_keys rows
-        rows.join(F.broadcast(accounts), same_account, "left")
-        .join(days, same_day, "left")
-        .join(rolling, same_instant, "left")
+    return rows.join(_per_day(rows, c), same_day, "left").join(
+        _rolling_by_marks(rows, c, policy), same_instant, "left"
     )
 
 
@@ -200,8 +211,8 @@ def with_activity(
 ) -> DataFrame:
     """Completed transactions with the features of ``FEATURES`` appended.
 
-    ``transactions`` is scanned once to find heavy accounts, once for ordinary ones and, where
-    heavy accounts exist, again for them: pass a stored table, not a long lazy plan.
+    ``transactions`` is scanned once now, to find heavy accounts, once for ordinary accounts and,
+    where heavy ones exist, again for them: pass a stored table, not a long lazy plan.
     """
     c = columns
     prepared = transactions.withColumns(
@@ -211,11 +222,13 @@ def with_activity(
             "_rolls": F.coalesce(F.col(c.kind) == c.rolling_kind, F.lit(False)),
         }
     )
+    originals = transactions.columns
     heavy = heavy_keys(prepared, c.account, F.col("_micros"), policy)
+    if heavy is None:
+        return _with_features(_ordinary(prepared, c), originals, c)
     tagged = with_heavy_range(prepared, heavy, c.account)
     ordinary = _ordinary(tagged.filter(F.col("_rows").isNull()), c)
     split = _heavy(tagged.filter(F.col("_rows").isNotNull()), c, policy)
-    originals = transactions.columns
     return _with_features(ordinary, originals, c).unionByName(_with_features(split, originals, c))
 
 

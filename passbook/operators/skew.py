@@ -3,10 +3,9 @@
 Joins and aggregates cope with a heavy key on their own (adaptive skew join, partial
 aggregation). Windows do not: every row of a key meets in one task. The jobs here therefore
 
-1. find the heaviest keys (``heavy_keys``): one pruned scan, partial counts, a top-k. The result
-   has at most ``max_keys`` rows whatever the data, so it may always be broadcast. Heavy keys
-   beyond the k-th stay on the ordinary path, which is exact too; with n rows in total none of
-   them can exceed n / max_keys rows;
+1. find the heaviest keys (``heavy_keys``): one pruned scan, partial counts, a top-k of at most
+   ``max_keys`` rows whatever the data. Heavy keys beyond the k-th stay on the ordinary path, which
+   is exact too; with n rows in total none of them can exceed n / max_keys rows;
 2. cut each heavy key into consecutive slots along the ordering column (``with_slot``);
 3. run the window per (key, slot) and hand the state at the end of a slot to the next one through
    a table with one row per slot.
@@ -20,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOT = "_slot"
 
@@ -27,19 +27,22 @@ SLOT = "_slot"
 @dataclass(frozen=True)
 class SkewPolicy:
     min_rows: int = 100_000  # a key below this is sorted in one task without a second thought
-    max_keys: int = 100_000  # hard bound of the broadcast side
+    max_keys: int = 100_000  # hard bound of the list of heavy keys
     slot_rows: int = 100_000  # average rows per slot of a heavy key
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
-    """The at most ``policy.max_keys`` heaviest keys with their row count and order range.
+def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame | None:
+    """The at most ``policy.max_keys`` heaviest keys with row count and order range, or None.
 
-    A null key, which the ledger's contracts forbid, is never among them.
+    Runs one job now. The bounded list is then fixed: every branch of a plan splits by the same
+    keys, even if a lost executor makes Spark compute a branch again, and a table without heavy
+    keys gets a plan without any splitting. A null key, which the ledger's contracts forbid, is
+    never in the list.
     """
-    return (
+    top = (
         df.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key"))
         .agg(
@@ -48,14 +51,18 @@ def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> Da
             F.max(order).cast("double").alias("_high"),
         )
         .filter(F.col("_rows") >= policy.min_rows)
-        # the key breaks ties: every evaluation of this frame must pick the same set
         .orderBy(F.desc("_rows"), F.asc("_key"))
         .limit(policy.max_keys)
     )
+    found = top.collect()
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None
 
 
 def with_heavy_range(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    """Add ``_rows``, ``_low``, ``_high`` of the row's key; ``_rows`` is null for ordinary keys."""
+    """Add ``_rows``, ``_low``, ``_high`` of the row's key; null for ordinary keys.
+
+    ``heavy`` has at most ``max_keys`` rows, so it may always be broadcast.
+    """
     return df.join(F.broadcast(heavy), F.col(key) == F.col("_key"), "left").drop("_key")
 
 
@@ -69,8 +76,13 @@ def slot_number(order: Column, policy: SkewPolicy) -> Column:
 
 
 def with_slot(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
-    """Find the heavy keys of ``df`` and add the slot column; one extra pruned scan of ``df``."""
+    """Find the heavy keys of ``df`` (one job) and add the slot column.
+
+    Without heavy keys the slot is the constant 0: the optimizer then removes all hand-over.
+    """
     heavy = heavy_keys(df, key, order, policy)
+    if heavy is None:
+        return df.withColumn(SLOT, F.lit(0).cast(T.LongType()))
     return (
         with_heavy_range(df, heavy, key)
         .withColumn(SLOT, slot_number(order, policy))

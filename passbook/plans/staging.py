@@ -37,8 +37,8 @@ def stg_accounts(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> Dat
     """Every change of every account once, deletes left out.
 
     The log position stays, because it decides the order of changes in the same millisecond, and so
-    does the slot of heavy accounts: found here on the raw log, it costs one scan of two columns and
-    lets the history jobs restrict their extra work to heavy accounts before any shuffle.
+    does the slot of heavy accounts: found here on the raw log (one job over two columns), it lets
+    the history jobs restrict their extra work to heavy accounts before any shuffle.
     """
     live = landing.filter(F.col("_cdc_op") != "d")
     slotted = with_slot(live, "account_id", F.col("_cdc_ts_ms"), policy)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,54 +80,60 @@ def partition_files(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 # --- foreign files, whose schema was inferred file by file -----------------------------------
 
-_FOOTER = "path string, columns string"
-
-
-def _footers(batches):
-    """Column names and types of each file, read from its footer inside the task."""
-    import pandas as pd
-    import pyarrow.fs as fs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            uri = re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://", 1)
-            files, inner = fs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(inner, filesystem=files)
-            found.append(json.dumps([[f.name, str(f.type)] for f in schema]))
-        yield pd.DataFrame({"path": batch["path"], "columns": found})
-
-
-def _spark_type(arrow_type: str) -> T.DataType | None:
-    """Type to read a column with; None for a column without any value (null type)."""
-    if arrow_type == "null":
-        return None
-    if arrow_type.startswith("decimal"):
-        precision, scale = arrow_type[arrow_type.index("(") + 1 : -1].split(",")
-        return T.DecimalType(int(precision), int(scale))
-    if arrow_type.startswith("timestamp"):
-        return T.TimestampType() if "tz=" in arrow_type else T.TimestampNTZType()
-    plain = {  # fixed values: Arrow type name → Spark type
-        "string": T.StringType(),
-        "large_string": T.StringType(),
-        "int32": T.IntegerType(),
-        "int64": T.LongType(),
-        "float": T.FloatType(),
-        "double": T.DoubleType(),
-        "bool": T.BooleanType(),
-        "date32[day]": T.DateType(),
-    }
-    return plain[arrow_type]
+# Spark type → name of the Arrow type a column is handed over as. Decimals travel as
+# text, which keeps every digit whatever scale a file chose; Spark then rounds to the contract.
+_HANDED_OVER = {
+    "string": "string",
+    "bigint": "int64",
+    "int": "int32",
+    "double": "float64",
+    "boolean": "bool",
+    "date": "date32",
+}
+
+
+def _file_reader(names: list[str], kinds: list[str]):
+    """Task function: paths in, rows of those files out, by column name and in one schema."""
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.fs as fs
+        import pyarrow.parquet as pq
+
+        wanted = pa.schema([(n, pa.type_for_alias(k)) for n, k in zip(names, kinds)])
+
+        def column(rows, field):
+            position = rows.schema.get_field_index(field.name)
+            if position < 0 or pa.types.is_null(rows.column(position).type):
+                return pa.nulls(rows.num_rows, field.type)
+            return rows.column(position).cast(field.type)
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                uri = re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://", 1)
+                files, inner = fs.FileSystem.from_uri(uri)
+                with pq.ParquetFile(inner, filesystem=files) as file:
+                    present = [n for n in names if n in file.schema_arrow.names]
+                    for rows in file.iter_batches(columns=present):
+                        yield pa.RecordBatch.from_arrays(
+                            [column(rows, f) for f in wanted], schema=wanted
+                        )
+
+    return read
 
 
 def reconcile(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """Read files whose schemas differ, by column name, as the contract's types.
 
-    Missing columns and columns without values become nulls; decimals of any precision and scale
-    are cast. Tasks read the footers; the driver sees one entry per distinct schema and the file
-    list, which Spark's file index holds anyway.
+    Missing columns and columns without any value become nulls; decimals of any precision and
+    scale are cast. Spark packs the file list into tasks by size and each task reads its files
+    batch by batch, so neither the driver nor a task ever holds the list of schemas or a whole
+    table. Meant for a one-off conversion of files other programs wrote; own files are read with
+    ``scan``.
     """
+    kinds = [_HANDED_OVER.get(f.dataType.simpleString(), "string") for f in contract.fields]
+    plain = {v: k for k, v in _HANDED_OVER.items()}
+    handed_over = ", ".join(f"`{f.name}` {plain[k]}" for f, k in zip(contract.fields, kinds))
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -137,33 +141,5 @@ def reconcile(spark: SparkSession, path: str, contract: T.StructType) -> DataFra
         .load(path)
         .select("path")
     )
-    groups = (
-        files.mapInPandas(_footers, _FOOTER)
-        .groupBy("columns")
-        .agg(F.collect_list("path").alias("paths"))
-        .orderBy("columns")
-        .collect()
-    )
-    parts = []
-    for group in groups:
-        kinds = {name: _spark_type(kind) for name, kind in json.loads(group["columns"])}
-        wanted = [
-            T.StructField(f.name, kinds[f.name])
-            for f in contract.fields
-            if kinds.get(f.name) is not None
-        ]
-        rows = spark.read.schema(T.StructType(wanted)).parquet(*group["paths"])
-        present = {f.name for f in wanted}
-        parts.append(
-            rows.select(
-                *[
-                    (F.col(f.name) if f.name in present else F.lit(None))
-                    .cast(f.dataType)
-                    .alias(f.name)
-                    for f in contract.fields
-                ]
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], contract)
-    return reduce(DataFrame.unionByName, parts)
+    rows = files.mapInArrow(_file_reader(contract.names, kinds), handed_over)
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in contract.fields])

@@ -294,14 +294,19 @@ def keyed_tokens(spark, sf):
 # --- ingest ----------------------------------------------------------------------------------
 
 
-def _decoded(spark, sf):
-    raw = envelope.of_table(fx.account_messages(spark, sf), "accounts")
+def _topic(spark, sf):
+    """The raw messages as a stored topic, so that reading them is separate from making them."""
+    return stored(fx.account_messages(spark, sf).repartition(8, "offset"), "topic")
+
+
+def _decoded(topic):
+    raw = envelope.of_table(topic, "accounts")
     return envelope.decode_json(envelope.drop_tombstones(raw), "accounts")
 
 
 @query
 def envelope_flatten(spark, sf):
-    rows = envelope.landing_rows(_decoded(spark, sf), "accounts", fx.SALT)
+    rows = envelope.landing_rows(_decoded(_topic(spark, sf)), "accounts", fx.SALT)
     before = F.from_json("_cdc_before", "account_number string, balance string, status string")
     return rows.withColumn("_b", before).select(
         *[c for c in rows.columns if c != "_cdc_before"],
@@ -314,13 +319,13 @@ def envelope_flatten(spark, sf):
 @query
 def envelope_dead_letter(spark, sf):
     """Outcome of every message, counted by partition."""
-    raw = fx.account_messages(spark, sf)
+    raw = _topic(spark, sf)
     by_partition = envelope.with_table_name(raw).groupBy("table", "partition")
     arrived = by_partition.agg(
         F.count(F.lit(1)).alias("messages"), F.count_if(F.col("value").isNull()).alias("tombstones")
     )
     bad = (
-        envelope.with_table_name(envelope.dead_letters(_decoded(spark, sf)))
+        envelope.with_table_name(envelope.dead_letters(_decoded(raw)))
         .groupBy("table", "partition")
         .agg(F.count(F.lit(1)).alias("dead_letters"))
     )
