@@ -102,21 +102,20 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     )
 
 
-def _rolling_by_marks(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -> DataFrame:
+def _rolling_by_marks(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     """(account, instant) → events in the rolling interval ending at that instant.
 
     Equal instants are counted before any shuffle. Each instant enters the running sum with +n and
     leaves it with −n just after the interval; the sum is taken inside a slot and completed by the
     total of the earlier slots. Its cost is linear, however many events share an interval.
     """
-    instants = rows.filter("_rolls").groupBy(c.account, "_micros", "_rows", "_low", "_high")
+    instants = rows.filter("_rolls").groupBy(c.account, "_micros", "_start", "_width")
     marks = (
         instants.agg(F.count(F.lit(1)).alias("_n"))
         .select(
             c.account,
-            "_rows",
-            "_low",
-            "_high",
+            "_start",
+            "_width",
             F.explode(
                 F.array(
                     F.struct(F.col("_micros").alias("at"), F.col("_n").alias("step")),
@@ -127,7 +126,7 @@ def _rolling_by_marks(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -
                 )
             ).alias("_mark"),
         )
-        .withColumn(SLOT, slot_number(F.col("_mark.at"), policy))
+        .withColumn(SLOT, slot_number(F.col("_mark.at")))
         .select(c.account, SLOT, F.col("_mark.at").alias("_at"), F.col("_mark.step").alias("_step"))
     )
     before = (
@@ -194,13 +193,13 @@ def _per_day(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     ).select("_day_key", "_day_of", "_same_day", "_mean", "_deviation", "_daily")
 
 
-def _heavy(rows: DataFrame, c: ActivityColumns, policy: SkewPolicy) -> DataFrame:
+def _heavy(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     same_day = (F.col(c.account) == F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
     same_instant = (F.col(c.account) == F.col("_instant_key")) & F.col("_micros").eqNullSafe(
         F.col("_instant")
     )
     return rows.join(_per_day(rows, c), same_day, "left").join(
-        _rolling_by_marks(rows, c, policy), same_instant, "left"
+        _rolling_by_marks(rows, c), same_instant, "left"
     )
 
 
@@ -227,8 +226,8 @@ def with_activity(
     if heavy is None:
         return _with_features(_ordinary(prepared, c), originals, c)
     tagged = with_heavy_range(prepared, heavy, c.account)
-    ordinary = _ordinary(tagged.filter(F.col("_rows").isNull()), c)
-    split = _heavy(tagged.filter(F.col("_rows").isNotNull()), c, policy)
+    ordinary = _ordinary(tagged.filter(F.col("_width").isNull()), c)
+    split = _heavy(tagged.filter(F.col("_width").isNotNull()), c)
     return _with_features(ordinary, originals, c).unionByName(_with_features(split, originals, c))
 
 

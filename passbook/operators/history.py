@@ -52,7 +52,7 @@ def change_points(
 
     # last state of every slot, offered to the next slot of the same key
     slot_end = (
-        slotted.filter(F.col(SLOT) > 0)
+        slotted.filter(F.col(SLOT).isNotNull())
         .groupBy(key, SLOT)
         .agg(F.max_by(F.struct(*tracked), F.struct(*order)).alias("_end"))
         .select(
@@ -97,7 +97,7 @@ def version_intervals(
 
     by_slot = Window.partitionBy(key).orderBy(SLOT)
     slots = (
-        slotted.filter(F.col(SLOT) > 0)
+        slotted.filter(F.col(SLOT).isNotNull())
         .groupBy(key, SLOT)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first"))
         .select(
@@ -168,7 +168,7 @@ def as_of(
     is_version = F.col("_version").isNotNull()
     by_slot = Window.partitionBy("_line_key").orderBy(SLOT)
     slot_end = (
-        slotted.filter(F.col(SLOT) > 0)
+        slotted.filter(F.col(SLOT).isNotNull())
         .groupBy("_line_key", SLOT)
         .agg(F.max_by("_version", F.when(is_version, F.struct("_at", "_seq"))).alias("_end"))
         .select(

@@ -6,11 +6,13 @@ aggregation). Windows do not: every row of a key meets in one task. The jobs her
 1. find the heaviest keys (``heavy_keys``): one pruned scan, partial counts, a top-k of at most
    ``max_keys`` rows whatever the data. Heavy keys beyond the k-th stay on the ordinary path, which
    is exact too; with n rows in total none of them can exceed n / max_keys rows;
-2. cut each heavy key into consecutive slots along the ordering column (``with_slot``);
+2. cut each heavy key into consecutive slots along the ordering column (``with_slot``), of equal
+   width, so many that one holds about ``slot_rows`` rows; the width comes from percentiles, which
+   a few stray timestamps cannot stretch;
 3. run the window per (key, slot) and hand the state at the end of a slot to the next one through
    a table with one row per slot.
 
-Keys that are not heavy have the single slot 0 and need no hand-over.
+Keys that are not heavy have no slot (null) and need no hand-over.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SLOT = "_slot"
 
@@ -35,56 +36,64 @@ DEFAULT_POLICY = SkewPolicy()
 
 
 def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame | None:
-    """The at most ``policy.max_keys`` heaviest keys with row count and order range, or None.
+    """The at most ``policy.max_keys`` heaviest keys with the start and width of their slots, or None.
 
-    Runs one job now. The bounded list is then fixed: every branch of a plan splits by the same
-    keys, even if a lost executor makes Spark compute a branch again, and a table without heavy
-    keys gets a plan without any splitting. A null key, which the ledger's contracts forbid, is
-    never in the list.
+    Runs one job now, and a second one over the heavy keys' rows if there are any. The bounded list
+    is then fixed: every branch of a plan splits by the same keys, even if a lost executor makes
+    Spark compute a branch again, and a table without heavy keys gets a plan without any splitting.
+    A null key, which the ledger's contracts forbid, is never in the list.
     """
-    top = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(order).cast("double").alias("_low"),
-            F.max(order).cast("double").alias("_high"),
+    spark = df.sparkSession
+    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    top = counts.filter(F.col("_n") >= policy.min_rows).orderBy(F.desc("_n"), F.asc("_key"))
+    found = top.limit(policy.max_keys).collect()
+    if not found:
+        return None
+    heaviest = F.broadcast(spark.createDataFrame(found, counts.schema))
+    slots = F.ceil(F.first("_n") / F.lit(policy.slot_rows))
+    spread = F.percentile_approx(order, F.array(F.lit(0.05), F.lit(0.95)), F.lit(1000))
+    ranges = (
+        df.join(heaviest, F.col(key) == F.col("_key"))
+        .groupBy("_key")
+        .agg(spread.alias("_spread"), slots.alias("_slots"))
+        .select(
+            "_key",
+            F.col("_spread")[0].cast("bigint").alias("_start"),
+            F.greatest(
+                (F.col("_spread")[1] - F.col("_spread")[0]) / (F.lit(0.9) * F.col("_slots")),
+                F.lit(1.0),
+            ).alias("_width"),
         )
-        .filter(F.col("_rows") >= policy.min_rows)
-        .orderBy(F.desc("_rows"), F.asc("_key"))
-        .limit(policy.max_keys)
     )
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
+    return spark.createDataFrame(ranges.collect(), ranges.schema)
 
 
 def with_heavy_range(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    """Add ``_rows``, ``_low``, ``_high`` of the row's key; null for ordinary keys.
+    """Add ``_start`` and ``_width`` of the row's key; null for ordinary keys.
 
     ``heavy`` has at most ``max_keys`` rows, so it may always be broadcast.
     """
     return df.join(F.broadcast(heavy), F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-def slot_number(order: Column, policy: SkewPolicy) -> Column:
-    """1, 2, 3 … along ``order`` for a heavy key (null order last), 0 for an ordinary key."""
-    slots = F.ceil(F.col("_rows") / F.lit(policy.slot_rows)).cast("bigint")
-    number = F.width_bucket(order.cast("double"), F.col("_low"), F.col("_high") + F.lit(1.0), slots)
-    return F.when(F.col("_rows").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.coalesce(number, slots + 2)
-    )
+def slot_number(order: Column) -> Column:
+    """Slots of a heavy key, increasing with ``order`` (null order last); null for other keys."""
+    slot = F.floor((order - F.col("_start")).cast("double") / F.col("_width")).cast("bigint")
+    return F.when(F.col("_width").isNotNull(), F.coalesce(slot, F.lit(2**62)))
 
 
 def with_slot(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
-    """Find the heavy keys of ``df`` (one job) and add the slot column.
+    """Find the heavy keys of ``df`` (a job) and add the slot column.
 
-    Without heavy keys the slot is the constant 0: the optimizer then removes all hand-over.
+    Without heavy keys the slot is a null constant: the optimizer then removes all hand-over.
     """
     heavy = heavy_keys(df, key, order, policy)
     if heavy is None:
-        return df.withColumn(SLOT, F.lit(0).cast(T.LongType()))
+        return df.withColumn(SLOT, F.lit(None).cast("bigint"))
     return (
         with_heavy_range(df, heavy, key)
-        .withColumn(SLOT, slot_number(order, policy))
-        .drop("_rows", "_low", "_high")
+        .withColumn(SLOT, slot_number(order))
+        .drop("_start", "_width")
     )

@@ -134,3 +134,12 @@ def test_deleted_and_redelivered_accounts(spark, policy):
     )
     dim = marts.dim_accounts(staging.stg_accounts(landing, policy), policy=policy).collect()
     assert [(r.version_number, r.is_current) for r in dim] == [(1, True)]
+
+
+def test_stray_times_do_not_spoil_the_slots(spark):
+    rows = [("a", t % 5, "ACTIVE", 10**12 + t, t) for t in range(1, 400)]
+    rows += [("a", 9, "ACTIVE", 0, 1000), ("a", 9, "ACTIVE", 10**14, 1001)]
+    policy = SkewPolicy(min_rows=10, max_keys=5, slot_rows=20)
+    slots = change_points(log(spark, rows), policy=policy, keep_slot=True).groupBy(SLOT).count()
+    assert slots.agg({"count": "max"}).first()[0] <= 40
+    assert changed_offsets(spark, rows, policy) == changed_offsets(spark, rows, WHOLE)
