@@ -76,7 +76,8 @@ def _with_features(rows: DataFrame, originals: list[str], c: ActivityColumns) ->
 
 def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     account = Window.partitionBy(c.account)
-    day = Window.partitionBy(c.account, "_day")
+    day = Window.partitionBy(c.account, "_day").orderBy("_micros")
+    whole_day = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rolling = (
         Window.partitionBy(c.account, "_rolls")
         .orderBy("_micros")
@@ -85,9 +86,9 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     # one exchange on the account satisfies the three kinds of window below
     per_day = rows.repartition(c.account).withColumns(
         {
-            "_same_day": F.count(F.lit(1)).over(day),
-            "_day_opens": (F.row_number().over(day.orderBy("_micros")) == 1)
-            & F.col("_day").isNotNull(),
+            # same order as the row number, so that both share one sort
+            "_same_day": F.count(F.lit(1)).over(whole_day),
+            "_day_opens": (F.row_number().over(day) == 1) & F.col("_day").isNotNull(),
         }
     )
     n, days = F.count(F.lit(1)).over(account), F.count_if("_day_opens").over(account)

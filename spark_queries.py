@@ -74,6 +74,11 @@ def first_event(spark, sf):
 # --- history ---------------------------------------------------------------------------------
 
 
+@query
+def stg_accounts(spark, sf):
+    return staging.stg_accounts(fx.account_log(spark, sf)).drop("_slot")
+
+
 @query
 def account_changes(spark, sf):
     return marts.account_changes(staging.stg_accounts(fx.account_log(spark, sf)))
@@ -113,6 +118,11 @@ def as_of_join_split(spark, sf):
 # --- marts -----------------------------------------------------------------------------------
 
 
+@query
+def dim_customers(spark, sf):
+    return marts.dim_customers(staging.stg_customers(fx.customer_log(spark, sf)))
+
+
 @query
 def dim_date(spark, sf):
     """Calendar with the number of events of each day."""
@@ -332,6 +342,18 @@ def envelope_dead_letter(spark, sf):
     return arrived.join(bad, ["table", "partition"], "left").na.fill(0, ["dead_letters"])
 
 
+@query
+def dead_letter_rows(spark, sf):
+    return envelope.dead_letters(_decoded(_topic(spark, sf)))
+
+
+@query
+def envelope_to_scd2(spark, sf):
+    """Raw messages all the way to account versions."""
+    rows = envelope.landing_rows(_decoded(_topic(spark, sf)), "accounts", fx.SALT)
+    return marts.dim_accounts(staging.stg_accounts(stored(rows, "landing_accounts")))
+
+
 @query
 def landing_partitions(spark, sf):
     """Write the account log to a landing zone, read it back, count rows per hour folder."""
