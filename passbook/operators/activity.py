@@ -78,11 +78,11 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     account = Window.partitionBy(c.account)
     day = Window.partitionBy(c.account, "_day").orderBy("_micros")
     whole_day = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rolling = (
-        Window.partitionBy(c.account, "_rolls")
-        .orderBy("_micros")
-        .rangeBetween(-c.rolling_micros, Window.currentRow)
-    )
+    # Events up to now minus events before the interval. Both frames only grow, so each row enters
+    # its sum once; a frame with a moving start is summed anew for every row.
+    in_time = Window.partitionBy(c.account, "_rolls").orderBy("_micros")
+    until_now = in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    too_old = in_time.rangeBetween(Window.unboundedPreceding, -(c.rolling_micros + 1))
     # one exchange on the account satisfies the three kinds of window below
     per_day = rows.repartition(c.account).withColumns(
         {
@@ -98,7 +98,7 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
             "_mean": _mean(total, F.count(c.amount).over(account)),
             "_deviation": F.stddev_pop(F.col(c.amount).cast("double")).over(account),
             "_daily": _daily(n, days),
-            "_rolling": F.count(F.lit(1)).over(rolling),
+            "_rolling": F.count(F.lit(1)).over(until_now) - F.count(F.lit(1)).over(too_old),
         }
     )
 

@@ -27,9 +27,9 @@ SLOT = "_slot"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    min_rows: int = 100_000  # a key below this is sorted in one task without a second thought
+    min_rows: int = 1_000_000  # one task sorts a key below this without a second thought
     max_keys: int = 100_000  # hard bound of the list of heavy keys
-    slot_rows: int = 100_000  # average rows per slot of a heavy key
+    slot_rows: int = 1_000_000  # aimed-at rows per slot of a heavy key
 
 
 DEFAULT_POLICY = SkewPolicy()
