@@ -14,12 +14,15 @@ def completed_with_features(fact: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
     return with_activity(completed(fact), policy=policy)
 
 
-def int_txn_features(fact: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """One row of features per completed transaction."""
-    rows = completed_with_features(fact, policy)
+def feature_columns(rows: DataFrame) -> DataFrame:
+    """One row of features per completed transaction (input: ``completed_with_features``)."""
     return rows.select("transaction_id", "from_account_id", "amount", *FEATURES)
 
 
+def int_txn_features(fact: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    return feature_columns(completed_with_features(fact, policy))
+
+
 def flags(
     fact: DataFrame, codes: list[str] | None = None, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from passbook.operators.quality import gate
+from passbook.operators.rules import all_flags, with_flag_key
 from passbook.operators.skew import DEFAULT_POLICY, SkewPolicy
 from passbook.plans import anomaly, marts, staging
 from passbook.plans.expectations import test_models
@@ -45,36 +46,35 @@ def build_models(
     landing: dict[str, DataFrame],
     calendar: DataFrame,
     table: Callable[[str, DataFrame], DataFrame],
-    view: Callable[[str, DataFrame], DataFrame] = as_view,
+    view: Callable[[str, DataFrame], DataFrame] | None = None,
     flagged_at: Column | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> dict[str, DataFrame]:
-    """All ten models. ``table`` and ``view`` decide how a model is kept.
+    """All ten models. ``table`` says how marts are kept, ``view`` how staging and features are.
 
-    Tables are written before the models that read them, so every later scan reads pruned columns
-    from files instead of repeating shuffles.
+    Without ``view`` everything that is read more than once is kept like a mart: the later models
+    and the data tests then scan pruned columns instead of repeating the shuffles of staging.
     """
+    keep = view or table
     m: dict[str, DataFrame] = {}
-    m["stg_customers"] = view("stg_customers", staging.stg_customers(landing["customers"]))
-    m["stg_accounts"] = view("stg_accounts", staging.stg_accounts(landing["accounts"], policy))
-    m["stg_transactions"] = view(
+    m["stg_customers"] = keep("stg_customers", staging.stg_customers(landing["customers"]))
+    m["stg_accounts"] = keep("stg_accounts", staging.stg_accounts(landing["accounts"], policy))
+    m["stg_transactions"] = keep(
         "stg_transactions", staging.stg_transactions(landing["transactions"])
     )
-    m["int_account_changes"] = view(
-        "int_account_changes", marts.account_changes(m["stg_accounts"], policy=policy)
-    )
+    m["int_account_changes"] = marts.account_changes(m["stg_accounts"], policy=policy)
     m["dim_customers"] = table("dim_customers", marts.dim_customers(m["stg_customers"]))
     m["dim_accounts"] = table("dim_accounts", marts.dim_accounts(m["stg_accounts"], policy=policy))
     m["dim_date"] = table("dim_date", calendar)
     m["fact_transactions"] = table(
         "fact_transactions", marts.fact_transactions(m["stg_transactions"], m["dim_accounts"])
     )
-    m["int_txn_features"] = view(
-        "int_txn_features", anomaly.int_txn_features(m["fact_transactions"], policy)
+    featured = keep(
+        "completed_with_features", anomaly.completed_with_features(m["fact_transactions"], policy)
     )
+    m["int_txn_features"] = anomaly.feature_columns(featured)
     m["mart_suspicious_transactions"] = table(
-        "mart_suspicious_transactions",
-        anomaly.mart_suspicious_transactions(m["fact_transactions"], flagged_at, policy),
+        "mart_suspicious_transactions", with_flag_key(all_flags(featured), flagged_at)
     )
     return m
 
@@ -86,13 +86,14 @@ def rebuild(
     anchor: str | None = None,
     flagged_at: Column | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    view: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Build all models from the landing zone, test them, and fail if an ``error`` test fails.
 
-    Returns the test results.
+    Pass ``view=as_view`` to keep staging and features as views. Returns the test results.
     """
     landing = {t: scan(spark, landing_base, t) for t in ("customers", "accounts", "transactions")}
     models = build_models(
-        landing, dim_date(spark, anchor), as_table(mart_base), flagged_at=flagged_at, policy=policy
+        landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy
     )
     return gate(test_models(models))

@@ -107,7 +107,7 @@ def top_bursts(flags: DataFrame, k: int = 5) -> DataFrame:
         .select(
             "transaction_id",
             "from_account_id",
-            F.round("amount", 2).alias("amount"),
+            F.round("amount", 2).cast("decimal(18,2)").alias("amount"),
             "created_at",
             F.col("rule_score").alias("transfers_in_2h"),
             "rule_description",
@@ -122,7 +122,7 @@ def top_high_values(flags: DataFrame, k: int = 5) -> DataFrame:
         .limit(k)
         .select(
             "transaction_id",
-            F.round("amount", 2).alias("amount"),
+            F.round("amount", 2).cast("decimal(18,2)").alias("amount"),
             round_double(F.col("rule_score"), 2).alias("amount_vs_mean"),
             "rule_description",
         )

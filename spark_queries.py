@@ -479,7 +479,6 @@ def dq_gate(spark, sf):
         },
         calendar.dim_date(spark, ANCHOR),
         table=lambda name, rows: stored(rows, name),
-        view=lambda name, rows: rows,
         flagged_at=F.lit(FLAGGED_AT).cast("timestamp_ntz"),
     )
     return quality.gate(stored(expectations.test_models(models), "dq"))

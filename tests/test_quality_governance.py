@@ -96,8 +96,10 @@ def test_rebuild_passes_all_tests(spark, landed):
         assert build.read_mart(spark, marts, name).count() > 0
     versions = build.read_mart(spark, marts, "dim_accounts")
     assert versions.count() == 872 and versions.filter("is_current").count() == 15
-    again = build.rebuild(spark, landed, marts, anchor="2024-01-15")  # full overwrite
+    # again, as a full overwrite, with staging and features as views
+    again = build.rebuild(spark, landed, marts, anchor="2024-01-15", view=build.as_view)
     assert again.count() == 67
+    assert spark.table("stg_accounts").count() > 0
     assert build.read_mart(spark, marts, "dim_accounts").count() == 872
 
 
