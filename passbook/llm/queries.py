@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import mixing, simhash
+from passbook.llm import mixing, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,11 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
             + greatest(0, least(size, floor(target) - 2 * source_size - before)) AS BIGINT) AS taken
 FROM queued
 """
+
+
+@query
+def op8_rules(spark, sf_dir):
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
