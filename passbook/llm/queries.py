@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import mixing, rules, simhash
+from passbook.llm import decontaminate, mixing, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.containments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op3_decontamination"] = r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark),
+item_grams AS (
+  SELECT DISTINCT item_id, least(5, len(w)) AS k, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS gram
+  FROM items, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS r(i) WHERE len(w) > 0),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+doc_grams AS (
+  SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+  FROM docs, (SELECT DISTINCT k FROM item_grams) AS lengths, unnest(range(1, len(w) - k + 2)) AS r(i)),
+totals AS (SELECT item_id, count(*) AS total FROM item_grams GROUP BY item_id)
+SELECT d.doc_id, i.item_id, count(*) AS n_shared, any_value(t.total) AS n_shingles,
+       CAST(count(*) AS DOUBLE) / any_value(t.total) AS containment
+FROM item_grams i JOIN doc_grams d USING (k, gram) JOIN totals t USING (item_id)
+GROUP BY d.doc_id, i.item_id HAVING count(*) * 5 >= any_value(t.total) * 4
+"""
+
+
 @query
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
