@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, mixing, rules, simhash
+from passbook.llm import decontaminate, mixing, quality, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,6 +95,13 @@ FROM queued
 """
 
 
+@query
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    graded = quality.grade(docs, quality.train(docs, quality.grades_of(table(spark, sf_dir, "labels"))))
+    return graded.select("doc_id", "expected_grade", "tails", "kept")
+
+
 @query
 def op8_rules(spark, sf_dir):
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
