@@ -38,6 +38,8 @@ QUOTED = 0.25  # weight of a quoted hit
 CROWDED = 0.5  # added to a hit's weight for another one near
 CHANCE = 1e-9  # a term is learned if chance explains its share of toxic documents no better
 LEVEL = 0.3
+LONGEST = 64  # letters of a word that can be near a term
+CROWD = 3  # words of other documents near a term that may have edits
 CLEAR = 1 << 20  # words without hit that a task remembers
 # Words that report, name or define what follows.
 REPORTING = frozenset(
@@ -57,41 +59,66 @@ def allowed(length: int) -> int:
 class Node:
     next: dict[str, Node] = field(default_factory=dict)
     term: int = -1
+    most: int = 0  # edits that a term at or below the node may have
 
 
 class Lexicon:
-    """A trie of terms with a search for all terms near a word."""
+    """A trie of terms with a search for the term nearest to a word."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], bound: list[int] | None = None):
         self.terms = terms
+        self.bound = bound or [allowed(len(t)) for t in terms]
+        self.raw = [np.frombuffer(t.encode(), dtype=np.uint8) for t in terms]
+        self.masks = [np.bitwise_or.reduce(_BIT[r]) for r in self.raw]
+        # a letter outside ASCII has up to four bytes
+        self.wide = any(len(r) != len(t) for r, t in zip(self.raw, terms, strict=True))
         self.root = Node()
         for k, term in enumerate(terms):
             node = self.root
+            node.most = max(node.most, self.bound[k])
             for letter in term:
                 node = node.next.setdefault(letter, Node())
+                node.most = max(node.most, self.bound[k])
             node.term = k
-        self.bound = [allowed(len(t)) for t in terms]
-        self.most = max(self.bound, default=0)
-        self.raw = [np.frombuffer(t.encode(), dtype=np.uint8) for t in terms]
-        self.masks = [np.bitwise_or.reduce(_BIT[r]) for r in self.raw]
-        # a letter outside ASCII has up to four bytes
-        self.wide = any(len(r) != len(t) for r, t in zip(self.raw, terms, strict=True))
 
     def nearest(self, word: str) -> tuple[int, int] | None:
-        """The term within its bound of edits, least edits first, then first in order: (term, edits)."""
+        """The term within its bound of edits, least edits first, then first in order: (term, edits).
+
+        A state lists the edits from the node's letters to the beginnings of the word that are no more
+        than ``most`` letters shorter or longer; other beginnings are too far in any case.
+        """
         best: tuple[int, int] | None = None
-        stack = [(self.root, tuple(range(len(word) + 1)))]
+        most, size = self.root.most, len(word)
+        far = most + 1
+        # state[d] belongs to the beginning of length depth - most + d
+        stack = [(self.root, 0, tuple(abs(d - most) if d >= most else far for d in range(2 * most + 1)))]
         while stack:
-            node, state = stack.pop()
-            if node.term >= 0 and state[-1] <= self.bound[node.term]:
-                if best is None or (state[-1], node.term) < (best[1], best[0]):
-                    best = (node.term, state[-1])
+            node, depth, state = stack.pop()
+            if node.term >= 0:
+                edits = state[size - depth + most] if abs(size - depth) <= most else far
+                if edits <= self.bound[node.term] and (best is None or (edits, node.term) < (best[1], best[0])):
+                    best = (node.term, edits)
+            depth += 1
             for letter, child in node.next.items():
-                row = [state[0] + 1]
-                for k, own in enumerate(word):
-                    row.append(min(row[k] + 1, state[k + 1] + 1, state[k] + (own != letter)))
-                if min(row) <= self.most:
-                    stack.append((child, tuple(row)))
+                row, left, least = [], far, far
+                for d in range(2 * most + 1):
+                    length = depth - most + d
+                    if length < 0 or length > size:
+                        left = far
+                    elif length == 0:
+                        left = min(depth, far)
+                    else:
+                        value = state[d] + (word[length - 1] != letter)
+                        if left < value:
+                            value = left + 1 if left + 1 < value else value
+                        if d < 2 * most and state[d + 1] + 1 < value:
+                            value = state[d + 1] + 1
+                        left = value
+                    row.append(left)
+                    if left < least:
+                        least = left
+                if least <= child.most:
+                    stack.append((child, depth, tuple(row)))
         return best
 
     def screened(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -108,7 +135,8 @@ class Lexicon:
             near = np.flatnonzero(np.abs(sizes - len(raw)) <= bits)
             near = near[np.bitwise_count(self.masks[k] & ~masks[near]) <= bits]
             near = near[np.bitwise_count(masks[near] & ~self.masks[k]) <= 4 * bound]
-            cuts = [len(raw) * j // (bound + 1) for j in range(bound + 2)]
+            term = self.terms[k]
+            cuts = [len(term[: len(term) * j // (bound + 1)].encode()) for j in range(bound + 2)]
             whole = np.zeros(len(near), dtype=bool)
             for j, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 piece = raw[low:high]
@@ -169,7 +197,7 @@ class Model:
     clear: np.ndarray | None = None  # word hashes without hit, by their last bits
 
     def _weigh(self, word: str) -> tuple[float, float]:
-        hit = self.lexicon.nearest(word) if len(word) < 64 else None
+        hit = self.lexicon.nearest(word) if len(word) < LONGEST else None
         weight = 0.0
         if hit is not None and not (hit[1] and word in self.harmless):
             weight = float(self.weights[hit[0]]) / (1 + hit[1])
@@ -288,8 +316,12 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     stems = learned_terms(stem_counts[True], stem_counts[False], *sizes)
     names = sorted(terms)
     lexicon = Lexicon(names)
-    # words near a term that other documents use are not misspellings of it
-    harmless = frozenset(near_words(lexicon, [w for w in counts[False] if w not in terms]))
+    # words near a term that other documents use are not misspellings of it, and a term with many such
+    # neighbours has no misspellings that could be told apart: it is matched as it is
+    near = near_words(lexicon, sorted(w for w in counts[False] if w not in terms))
+    neighbours = Counter(term for _, term in near)
+    lexicon = Lexicon(names, [0 if neighbours[k] > CROWD else b for k, b in enumerate(lexicon.bound)])
+    harmless = frozenset(w for w, _ in near)
     model = Model(lexicon, np.array([terms[t] for t in names]), stems, harmless, np.zeros(len(NAMES)))
     x = np.concatenate([model.features(w) for w in textbatch.blocks(texts, textbatch.ALPHANUMERIC)])
     model.coefficients = logistic(x, toxic.astype(float))
@@ -298,13 +330,14 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     return model
 
 
-def near_words(lexicon: Lexicon, words: list[str]) -> list[str]:
-    """Those of ``words`` that are near a term."""
+def near_words(lexicon: Lexicon, words: list[str]) -> list[tuple[str, int]]:
+    """Those of ``words`` that are near a term, with the term."""
     raw = [w.encode() for w in words]
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    may = lexicon.screened(data, np.cumsum(sizes) - sizes, sizes)
-    return [words[k] for k in np.flatnonzero(may).tolist() if len(words[k]) < 64 and lexicon.nearest(words[k])]
+    may = np.flatnonzero(lexicon.screened(data, np.cumsum(sizes) - sizes, sizes)).tolist()
+    found = ((words[k], lexicon.nearest(words[k])) for k in may if len(words[k]) < LONGEST)
+    return [(word, hit[0]) for word, hit in found if hit is not None]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
