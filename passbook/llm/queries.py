@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, mixing, quality, rules, simhash, toxicity
+from passbook.llm import decontaminate, extraction, mixing, quality, rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_extraction(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.containments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
