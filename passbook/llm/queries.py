@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, extraction, mixing, quality, rules, simhash, toxicity
+from passbook.llm import decontaminate, extraction, mixing, quality, rules, sequences, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1_extraction(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op2_sequences(spark, sf_dir):
+    return sequences.shards(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.containments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
