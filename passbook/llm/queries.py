@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, extraction, mixing, quality, rules, sequences, simhash, toxicity
+from passbook.llm import decontaminate, extraction, mixing, pseudonyms, quality, rules, sequences, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,6 +57,12 @@ GROUP BY d.doc_id, i.item_id HAVING count(*) * 5 >= any_value(t.total) * 4
 """
 
 
+@query
+def op4_pseudonyms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs)
+
+
 @query
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
