@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, extraction, mixing, pseudonyms, quality, rules, sequences, simhash, toxicity
+from passbook.llm import decontaminate, extraction, licences, mixing, pseudonyms, quality, rules, sequences, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -130,3 +130,33 @@ def op8_rules(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"), licences.templates_frame(spark))
+
+
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licences.TEMPLATES.items())
+SQL["op10_licences"] = rf"""
+WITH templates AS (
+  SELECT license, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+  FROM (VALUES {_TEMPLATES}) AS t(license, text)),
+template_grams AS (
+  SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS gram FROM templates, unnest(range(1, len(w) - 3)) AS r(i)),
+totals AS (
+  SELECT license, count(*) AS total, CAST(pow(2, floor(log2(count(*) + 0.5))) AS BIGINT) AS step FROM template_grams GROUP BY license),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+  FROM documents),
+doc_grams AS (
+  SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS gram FROM docs, unnest(range(1, len(w) - 3)) AS r(i)),
+passages AS (
+  SELECT d.doc_id, t.license, s.total, d.place // s.step - k AS number, t.gram
+  FROM template_grams t JOIN totals s USING (license) JOIN doc_grams d USING (gram), unnest(range(0, 4)) AS r(k)
+  WHERE d.place // s.step >= k),
+counted AS (
+  SELECT doc_id, license, total, number, count(DISTINCT gram) AS shared FROM passages GROUP BY doc_id, license, total, number)
+SELECT doc_id, license, max(shared) AS n_shared, total AS n_shingles, CAST(max(shared) AS DOUBLE) / total AS containment
+FROM counted WHERE shared * 5 >= total * 4 GROUP BY doc_id, license, total
+"""
