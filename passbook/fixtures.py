@@ -1,7 +1,7 @@
 """Ledger-shaped views over the test tables, which hold no ledger.
 
 ``events`` plays the account log and the transactions, ``orders`` with ``customer`` the customer
-log. ``oracle_sql.py`` defines the same views in SQL.
+log. ``oracle_queries.py`` defines the same views in SQL.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from passbook.contracts import ACCOUNT_TYPES, CURRENCIES
 from passbook.functions.scalars import date_key, utc_micros
-from passbook.operators.envelope import hide_personal_columns, with_partitions
+from passbook.operators.envelope import hide_personal_columns
 
 SALT = "test-salt"
 TOPIC_PREFIX = "bank.public"
@@ -209,8 +209,5 @@ def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(number % 37 == 1, F.substring(text, 1, 40))
         .otherwise(text)
         .alias("value"),
+        F.timestamp_millis(at + 7).alias("timestamp"),
     )
-
-
-def with_landing_partitions(log: DataFrame) -> DataFrame:
-    return with_partitions(log)

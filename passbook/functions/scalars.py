@@ -22,14 +22,19 @@ def md5_key(*parts: Column) -> Column:
     return F.md5(F.concat(*joined))
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def millis_to_utc(millis: Column) -> Column:
-    """Epoch milliseconds as a zone-less UTC timestamp (the session zone is UTC)."""
-    return F.timestamp_millis(millis).cast("timestamp_ntz")
+    """Epoch milliseconds as a zone-less UTC timestamp, whatever the session's zone."""
+    return F.timestamp_add("MILLISECOND", millis, _epoch())
 
 
 def utc_micros(ts: Column) -> Column:
-    """Zone-less UTC timestamp as epoch microseconds."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Zone-less UTC timestamp as epoch microseconds, whatever the session's zone."""
+    seconds = (ts.cast("timestamp_ntz") - _epoch()).cast("interval second").cast("decimal(18,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
 def iso_to_utc(text: Column) -> Column:
@@ -38,7 +43,7 @@ def iso_to_utc(text: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.day(day)
 
 
 def last_segment(dotted: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from passbook.contracts import MONEY
 from passbook.functions.scalars import utc_micros
 from passbook.operators.skew import (
     DEFAULT_POLICY,
@@ -24,7 +25,7 @@ from passbook.operators.skew import (
     SkewPolicy,
     heavy_keys,
     slot_number,
-    with_heavy_range,
+    with_cuts,
 )
 
 FEATURES = [
@@ -54,6 +55,22 @@ def _mean(total: Column, n: Column) -> Column:
     return total.cast("double") / n.cast("double")
 
 
+def _square() -> Column:
+    return F.col("_amount") * F.col("_amount")
+
+
+def _deviation(n: Column, total: Column, squares: Column) -> Column:
+    """Population deviation from exact decimal sums: the same number however the rows were split.
+
+    n * sum(x*x) - sum(x)**2 is exact in decimals up to 10**34; beyond, doubles stand in.
+    """
+    of = n.cast("decimal(13,0)")
+    exact = F.try_subtract(F.try_multiply(of, squares), F.try_multiply(total, total)).cast("double")
+    count, mean = n.cast("double"), total.cast("double")
+    rough = count * squares.cast("double") - mean * mean
+    return F.sqrt(F.greatest(F.coalesce(exact, rough), F.lit(0.0))) / F.nullif(count, F.lit(0.0))
+
+
 def _daily(n: Column, days: Column) -> Column:
     return n.cast("double") / F.nullif(days, F.lit(0)).cast("double")
 
@@ -83,7 +100,7 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     in_time = Window.partitionBy(c.account, "_rolls").orderBy("_micros")
     until_now = in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     too_old = in_time.rangeBetween(Window.unboundedPreceding, -(c.rolling_micros + 1))
-    # one exchange on the account satisfies the three kinds of window below
+    # One exchange on the account satisfies the three kinds of window below. No account here is heavy.
     per_day = rows.repartition(c.account).withColumns(
         {
             # same order as the row number, so that both share one sort
@@ -92,11 +109,11 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
         }
     )
     n, days = F.count(F.lit(1)).over(account), F.count_if("_day_opens").over(account)
-    total = F.sum(c.amount).over(account)
+    total, valued = F.sum("_amount").over(account), F.count("_amount").over(account)
     return per_day.withColumns(
         {
-            "_mean": _mean(total, F.count(c.amount).over(account)),
-            "_deviation": F.stddev_pop(F.col(c.amount).cast("double")).over(account),
+            "_mean": _mean(total, valued),
+            "_deviation": _deviation(valued, total, F.sum(_square()).over(account)),
             "_daily": _daily(n, days),
             "_rolling": F.count(F.lit(1)).over(until_now) - F.count(F.lit(1)).over(too_old),
         }
@@ -110,26 +127,20 @@ def _rolling_by_marks(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     leaves it with −n just after the interval; the sum is taken inside a slot and completed by the
     total of the earlier slots. Its cost is linear, however many events share an interval.
     """
-    instants = rows.filter("_rolls").groupBy(c.account, "_micros", "_start", "_width")
-    marks = (
-        instants.agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            c.account,
-            "_start",
-            "_width",
-            F.explode(
-                F.array(
-                    F.struct(F.col("_micros").alias("at"), F.col("_n").alias("step")),
-                    F.struct(
-                        (F.col("_micros") + F.lit(c.rolling_micros + 1)).alias("at"),
-                        (-F.col("_n")).alias("step"),
-                    ),
-                )
-            ).alias("_mark"),
-        )
-        .withColumn(SLOT, slot_number(F.col("_mark.at")))
-        .select(c.account, SLOT, F.col("_mark.at").alias("_at"), F.col("_mark.step").alias("_step"))
+    slotted = rows.filter("_rolls").withColumns(
+        {
+            "_enters": slot_number(F.col("_micros")),
+            "_leaves": slot_number(F.col("_micros") + F.lit(c.rolling_micros + 1)),
+        }
     )
+    instants = slotted.groupBy(c.account, "_micros", "_enters", "_leaves").agg(F.count(F.lit(1)).alias("_n"))
+    enter = F.struct(F.col("_enters").alias(SLOT), F.col("_micros").alias("_at"), F.col("_n").alias("_step"))
+    leave = F.struct(
+        F.col("_leaves").alias(SLOT),
+        (F.col("_micros") + F.lit(c.rolling_micros + 1)).alias("_at"),
+        (-F.col("_n")).alias("_step"),
+    )
+    marks = instants.select(c.account, F.explode(F.array(enter, leave)).alias("_mark")).select(c.account, "_mark.*")
     before = (
         marks.groupBy(c.account, SLOT)
         .agg(F.sum("_step").alias("_net"))
@@ -150,7 +161,7 @@ def _rolling_by_marks(rows: DataFrame, c: ActivityColumns) -> DataFrame:
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matches = (F.col(c.account) == F.col("_before_key")) & (F.col(SLOT) == F.col("_before_slot"))
+    matches = F.col(c.account).eqNullSafe(F.col("_before_key")) & F.col(SLOT).eqNullSafe(F.col("_before_slot"))
     return (
         marks.withColumn("_inside", F.sum("_step").over(in_slot))
         .filter("_step > 0")
@@ -167,36 +178,28 @@ def _per_day(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     """(account, day) → count of the day and statistics of the account.
 
     Rows are aggregated per day before any shuffle; the account's statistics are then put together
-    from its days, at most one row per calendar day. Deviation: the days' own squared deviations
-    plus those of the day means around the account mean.
+    from its days, at most one row per calendar day.
     """
-    amount = F.col(c.amount).cast("double")
     account = Window.partitionBy("_day_key")
     days = rows.groupBy(F.col(c.account).alias("_day_key"), F.col("_day").alias("_day_of")).agg(
         F.count(F.lit(1)).alias("_same_day"),
-        F.count(c.amount).alias("_n"),
-        F.sum(c.amount).alias("_total"),
-        F.avg(amount).alias("_day_mean"),
-        F.var_pop(amount).alias("_day_variance"),
+        F.count("_amount").alias("_n"),
+        F.sum("_amount").alias("_total"),
+        F.sum(_square()).alias("_squares"),
     )
-    with_mean = days.withColumns(
+    n, total, squares = (F.sum(x).over(account) for x in ("_n", "_total", "_squares"))
+    return days.withColumns(
         {
-            "_all_n": F.sum("_n").over(account),
-            "_mean": _mean(F.sum("_total").over(account), F.sum("_n").over(account)),
+            "_mean": _mean(total, n),
+            "_deviation": _deviation(n, total, squares),
             "_daily": _daily(F.sum("_same_day").over(account), F.count("_day_of").over(account)),
         }
-    )
-    squares = F.col("_n") * (
-        F.col("_day_variance") + F.pow(F.col("_day_mean") - F.col("_mean"), F.lit(2.0))
-    )
-    return with_mean.withColumn(
-        "_deviation", F.sqrt(F.sum(squares).over(account) / F.col("_all_n"))
     ).select("_day_key", "_day_of", "_same_day", "_mean", "_deviation", "_daily")
 
 
 def _heavy(rows: DataFrame, c: ActivityColumns) -> DataFrame:
-    same_day = (F.col(c.account) == F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
-    same_instant = (F.col(c.account) == F.col("_instant_key")) & F.col("_micros").eqNullSafe(
+    same_day = F.col(c.account).eqNullSafe(F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
+    same_instant = F.col(c.account).eqNullSafe(F.col("_instant_key")) & F.col("_micros").eqNullSafe(
         F.col("_instant")
     )
     return rows.join(_per_day(rows, c), same_day, "left").join(
@@ -220,15 +223,16 @@ def with_activity(
             "_day": F.to_date(c.time),
             "_micros": utc_micros(F.col(c.time)),
             "_rolls": F.coalesce(F.col(c.kind) == c.rolling_kind, F.lit(False)),
+            "_amount": F.col(c.amount).cast(MONEY),
         }
     )
     originals = transactions.columns
     heavy = heavy_keys(prepared, c.account, F.col("_micros"), policy)
     if heavy is None:
         return _with_features(_ordinary(prepared, c), originals, c)
-    tagged = with_heavy_range(prepared, heavy, c.account)
-    ordinary = _ordinary(tagged.filter(F.col("_width").isNull()), c)
-    split = _heavy(tagged.filter(F.col("_width").isNotNull()), c)
+    tagged = with_cuts(prepared, heavy, c.account)
+    ordinary = _ordinary(tagged.filter(F.col("_cuts").isNull()), c)
+    split = _heavy(tagged.filter(F.col("_cuts").isNotNull()), c)
     return _with_features(ordinary, originals, c).unionByName(_with_features(split, originals, c))
 
 
@@ -270,9 +274,9 @@ def account_stats(
 ) -> DataFrame:
     """Mean and population deviation of the amounts, by account."""
     c = columns
-    return transactions.groupBy(c.account).agg(
-        _mean(F.sum(c.amount), F.count(c.amount)).alias("acct_mean_amount"),
-        F.coalesce(F.stddev_pop(F.col(c.amount).cast("double")), F.lit(0.0)).alias(
-            "acct_stddev_amount"
-        ),
+    rows = transactions.withColumn("_amount", F.col(c.amount).cast(MONEY))
+    n, total = F.count("_amount"), F.sum("_amount")
+    return rows.groupBy(c.account).agg(
+        _mean(total, n).alias("acct_mean_amount"),
+        F.coalesce(_deviation(n, total, F.sum(_square())), F.lit(0.0)).alias("acct_stddev_amount"),
     )

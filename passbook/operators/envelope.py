@@ -14,6 +14,7 @@ from passbook.contracts import PERSONAL_COLUMNS, SOURCE_TABLES, envelope_schema
 from passbook.functions.scalars import any_set, last_segment, millis_to_utc, text_token
 
 UNPARSED = "_unparsed"
+ARRIVED = "_arrived_ms"
 
 
 def drop_tombstones(messages: DataFrame) -> DataFrame:
@@ -80,9 +81,20 @@ def decode_avro(messages: DataFrame, table: str, avro_schema: str) -> DataFrame:
     return _parsed_once(messages, parsed, table, lambda e: e.isNull() | e["op"].isNull())
 
 
-def dead_letters(decoded: DataFrame) -> DataFrame:
-    """Undecodable messages with their position and raw value, kept for inspection."""
-    return decoded.filter("undecodable").select("topic", "partition", "offset", "value")
+def dead_letters(decoded: DataFrame, salt: str) -> DataFrame:
+    """Position, length and token of undecodable messages.
+
+    What cannot be decoded cannot be tokenised column by column either, so the value itself, personal
+    data included, stays in the topic; position and token find and compare it there.
+    """
+    value = F.col("value").cast("string")
+    return decoded.filter("undecodable").select(
+        "topic",
+        "partition",
+        "offset",
+        F.length(value).cast("bigint").alias("value_length"),
+        text_token(value, salt).alias("value_token"),
+    )
 
 
 def decoded_only(decoded: DataFrame) -> DataFrame:
@@ -153,16 +165,23 @@ def flatten(decoded: DataFrame, table: str) -> DataFrame:
         F.col("topic").alias("_kafka_topic"),
         F.col("partition").cast("int").alias("_kafka_partition"),
         F.col("offset").cast("bigint").alias("_kafka_offset"),
+        # when the broker took the message: files a row without event time, the same way on a replay
+        *([F.unix_millis("timestamp").alias(ARRIVED)] if "timestamp" in decoded.columns else []),
     )
 
 
 def with_partitions(landing: DataFrame) -> DataFrame:
-    """Add year, month, day, hour of the event time in UTC; wall clock where there is none."""
-    event = millis_to_utc(F.nullif(F.col("_cdc_ts_ms"), F.lit(0)))
-    at = F.coalesce(event, F.current_timestamp().cast("timestamp_ntz"))
-    stamped = landing.withColumn("_hour", F.date_format(at, "yyyyMMddHH"))
-    pieces = {"year": (1, 4), "month": (5, 2), "day": (7, 2), "hour": (9, 2)}
-    return stamped.withColumns({k: F.substring("_hour", *v) for k, v in pieces.items()}).drop("_hour")
+    """Add year, month, day, hour in UTC: of the event time, else of the message's arrival.
+
+    The wall clock is left for rows that have neither.
+    """
+    event = F.nullif(F.col("_cdc_ts_ms"), F.lit(0))
+    if ARRIVED in landing.columns:
+        event = F.coalesce(event, F.col(ARRIVED))
+    at = millis_to_utc(F.coalesce(event, F.unix_millis(F.current_timestamp())))
+    pieces = {"year": (F.year, 4), "month": (F.month, 2), "day": (F.day, 2), "hour": (F.hour, 2)}
+    padded = {k: F.lpad(part(at).cast("string"), width, "0") for k, (part, width) in pieces.items()}
+    return landing.withColumns(padded).drop(ARRIVED)
 
 
 def landing_rows(decoded: DataFrame, table: str, salt: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passbook.contracts import RETENTION_DAYS
 from passbook.functions.scalars import millis_to_utc, text_token
-from passbook.sources.landing import partition_files, table_path
+from passbook.sources.landing import day_folders, partition_files
 
 DAY_MILLIS = 24 * 60 * 60 * 1000
 
@@ -71,15 +73,17 @@ def expire(
 ) -> int:
     """Remove expired day folders; returns how many. Folders already gone are no error.
 
-    Only folder names reach the driver: one per expired day.
+    Works on folder names, one per day, however many files the days hold.
     """
+    keep = RETENTION_DAYS[table] if days is None else days
+    oldest = (date.fromisoformat(as_of) - timedelta(days=keep)).isoformat()
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    for row in expired_folders(spark, base, table, as_of, days).collect():
-        folder = f"year={row['year']}/month={row['month']}/day={row['day']}"
-        path = hadoop.Path(f"{table_path(base, table)}/{folder}")
-        removed += path.getFileSystem(conf).delete(path, True)
+    for day, folder in day_folders(spark, base, table):
+        if day < oldest:
+            path = hadoop.Path(folder)
+            removed += path.getFileSystem(conf).delete(path, True)
     return removed
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from passbook.functions.scalars import md5_key, millis_to_utc
+from passbook.functions.scalars import md5_key, millis_to_utc, utc_micros
 from passbook.operators.messages import POSITION
 from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy, with_slot
 
@@ -45,6 +45,8 @@ def change_points(
 ) -> DataFrame:
     """Events that changed a tracked column, compared with the previous event of the key.
 
+    Re-delivered copies of a message stand next to each other in this order and agree in every column, so a
+    row whose predecessor has its log position is dropped here and needs no exchange of its own.
     Uses the slots of ``log`` if it carries them; ``keep_slot`` hands them on.
     """
     order = [time, *POSITION]
@@ -66,9 +68,13 @@ def change_points(
     walked = slotted.select(
         "*",
         F.row_number().over(in_slot).alias("_nth"),
-        *[F.lag(c).over(in_slot).alias(f"_lag_{c}") for c in tracked],
+        *[F.lag(c).over(in_slot).alias(f"_lag_{c}") for c in [*tracked, *POSITION]],
     )
-    matches = (F.col(key) == F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
+    copies = (F.col("_nth") > 1) & reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_lag_{c}")) for c in POSITION]
+    )
+    walked = walked.filter(~copies)
+    matches = F.col(key).eqNullSafe(F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
     with_previous = walked.join(slot_end, matches, "left").withColumns(
         {
             f"_prev_{c}": F.when(F.col("_nth") == 1, F.col(f"_carry.{c}")).otherwise(
@@ -118,7 +124,7 @@ def version_intervals(
         F.lead(time).over(in_slot).alias("_next_in_slot"),
         F.row_number().over(in_slot).alias("_nth"),
     )
-    matches = (F.col(key) == F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
+    matches = F.col(key).eqNullSafe(F.col("_carry_key")) & (F.col(SLOT) == F.col("_carry_slot"))
     closes_at = F.coalesce(F.col("_next_in_slot"), F.col("_next_slot_start"))
     payload = [c for c in changes.columns if c not in (SLOT, time, *POSITION)]
     return numbered.join(slots, matches, "left").select(
@@ -145,10 +151,12 @@ def as_of(
     A version holds for ``valid_from <= t < valid_to``. Facts and versions are merged into one
     time line per key and each fact takes the last version before it, so the cost is one sort; an
     equality-plus-range join would pair every fact of a key with every version of it.
-    Facts without a valid version keep nulls.
+    Facts without a valid version keep nulls; those without a key go round the time line.
     """
+    keyless = facts.filter(F.col(fact_key).isNull())
+    facts = facts.filter(F.col(fact_key).isNotNull())
     version = F.struct(F.col("valid_to").alias("_until"), *take)
-    line = versions.select(
+    line = versions.filter(F.col(version_key).isNotNull()).select(
         F.col(version_key).alias("_line_key"),
         F.col("valid_from").alias("_at"),
         F.col("version_number").cast("bigint").alias("_seq"),
@@ -162,7 +170,7 @@ def as_of(
         ),
         allowMissingColumns=True,
     )
-    micros = F.unix_micros(F.col("_at").cast("timestamp"))
+    micros = utc_micros(F.col("_at"))
     slotted = with_slot(line, "_line_key", micros, policy)
 
     is_version = F.col("_version").isNotNull()
@@ -189,10 +197,11 @@ def as_of(
     )
     seen = F.coalesce(F.col("_last"), F.col("_carry"))
     holds = F.col("_seen._until").isNull() | (F.col("_at") < F.col("_seen._until"))
-    return (
+    found = (
         slotted.withColumn("_last", F.last("_version", ignorenulls=True).over(in_slot))
         .filter(~is_version)
         .join(slot_end, matches, "left")
         .withColumn("_seen", seen)
         .select(*facts.columns, *[F.when(holds, F.col(f"_seen.{c}")).alias(c) for c in take])
     )
+    return found.unionByName(keyless, allowMissingColumns=True)

@@ -3,16 +3,15 @@
 Joins and aggregates cope with a heavy key on their own (adaptive skew join, partial
 aggregation). Windows do not: every row of a key meets in one task. The jobs here therefore
 
-1. find the heaviest keys (``heavy_keys``): one pruned scan, partial counts, a top-k of at most
-   ``max_keys`` rows whatever the data. Heavy keys beyond the k-th stay on the ordinary path, which
-   is exact too; with n rows in total none of them can exceed n / max_keys rows;
-2. cut each heavy key into consecutive slots along the ordering column (``with_slot``), of equal
-   width, so many that one holds about ``slot_rows`` rows; the width comes from percentiles, which
-   a few stray timestamps cannot stretch;
+1. find the heavy keys (``heavy_keys``): one pruned scan with partial counts. With n rows there are no more
+   than n / ``min_rows`` of them; the list is a stored table, never collected;
+2. cut each heavy key into consecutive slots along the ordering column (``with_slot``) at quantiles of its
+   own rows, so that slots hold equally many rows however uneven the times are. Rows of one
+   instant are never parted;
 3. run the window per (key, slot) and hand the state at the end of a slot to the next one through
    a table with one row per slot.
 
-Keys that are not heavy have no slot (null) and need no hand-over.
+Keys that are not heavy have no slot (null) and need no hand-over. A null key is a key like any other.
 """
 
 from __future__ import annotations
@@ -22,13 +21,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passbook.workspace import stored
+
 SLOT = "_slot"
+#: Quantiles taken of a heavy key. A key of more than CUTS * slot_rows rows gets CUTS equal slots.
+CUTS = 1000
+_ACCURACY = 20 * CUTS
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     min_rows: int = 1_000_000  # one task sorts a key below this without a second thought
-    max_keys: int = 100_000  # hard bound of the list of heavy keys
     slot_rows: int = 1_000_000  # aimed-at rows per slot of a heavy key
 
 
@@ -36,52 +39,56 @@ DEFAULT_POLICY = SkewPolicy()
 
 
 def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame | None:
-    """The at most ``policy.max_keys`` heaviest keys with the start and width of their slots, or None.
+    """The heavy keys with the cut points of their slots (``_key, _cuts``), or None.
 
-    Runs one job now, and a second one over the heavy keys' rows if there are any. The bounded list
-    is then fixed: every branch of a plan splits by the same keys, even if a lost executor makes
-    Spark compute a branch again, and a table without heavy keys gets a plan without any splitting.
-    A null key, which the ledger's contracts forbid, is never in the list.
+    Runs one job now, and a second one over the heavy keys' rows if there are any. The list is stored:
+    every branch of a plan splits by the same keys, even if a lost executor makes Spark compute a
+    branch again, and a table without heavy keys gets a plan without any splitting.
     """
-    spark = df.sparkSession
-    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    top = counts.filter(F.col("_n") >= policy.min_rows).orderBy(F.desc("_n"), F.asc("_key"))
-    found = top.limit(policy.max_keys).collect()
-    if not found:
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = stored(counts.filter(F.col("_n") >= policy.min_rows), "heavy_keys")
+    if heavy.isEmpty():
         return None
-    heaviest = F.broadcast(spark.createDataFrame(found, counts.schema))
-    slots = F.ceil(F.first("_n") / F.lit(policy.slot_rows))
-    spread = F.percentile_approx(order, F.array(F.lit(0.05), F.lit(0.95)), F.lit(1000))
-    ranges = (
-        df.join(heaviest, F.col(key) == F.col("_key"))
+    quantiles = F.percentile_approx(order, [k / CUTS for k in range(1, CUTS)], _ACCURACY)
+    spread = (
+        df.join(heavy, F.col(key).eqNullSafe(F.col("_key")))
         .groupBy("_key")
-        .agg(spread.alias("_spread"), slots.alias("_slots"))
-        .select(
-            "_key",
-            F.col("_spread")[0].cast("bigint").alias("_start"),
-            F.greatest(
-                (F.col("_spread")[1] - F.col("_spread")[0]) / (F.lit(0.9) * F.col("_slots")),
-                F.lit(1.0),
-            ).alias("_width"),
-        )
+        .agg(quantiles.alias("_all"), F.first("_n").alias("_n"))
     )
-    return spark.createDataFrame(ranges.collect(), ranges.schema)
-
+    slots = F.least(F.ceil(F.col("_n") / policy.slot_rows), F.lit(CUTS)).cast("int")
+    chosen = F.transform(
+        F.sequence(F.lit(1), slots - 1),
+        lambda k: F.element_at("_all", F.round(k * (F.lit(1.0) * CUTS / slots)).cast("int")).cast("bigint"),
+    )
+    none = F.array().cast("array<bigint>")
+    cuts = F.when((slots > 1) & F.col("_all").isNotNull(), F.array_distinct(chosen)).otherwise(none)
+    return stored(spread.select("_key", cuts.alias("_cuts")), "slot_cuts")
 
-def with_heavy_range(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    """Add ``_start`` and ``_width`` of the row's key; null for ordinary keys.
 
-    ``heavy`` has at most ``max_keys`` rows, so it may always be broadcast.
-    """
-    return df.join(F.broadcast(heavy), F.col(key) == F.col("_key"), "left").drop("_key")
+def with_cuts(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
+    """Add ``_cuts`` of the row's key; null for ordinary keys. Spark broadcasts the list if it is small."""
+    return df.join(heavy, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def slot_number(order: Column) -> Column:
-    """Slots of a heavy key, increasing with ``order`` (null order last); null for other keys."""
-    slot = F.floor((order - F.col("_start")).cast("double") / F.col("_width")).cast("bigint")
-    return F.when(F.col("_width").isNotNull(), F.coalesce(slot, F.lit(2**62)))
+    """Slots of a heavy key, increasing with ``order`` (null order last); null for other keys.
+
+    The slot is the number of cut points up to the value, found by halving.
+    """
+    steps = F.sequence(F.lit(1), F.lit(CUTS.bit_length()))
+    start = F.struct(F.lit(0).alias("low"), F.size("_cuts").alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        passed = F.get("_cuts", middle) <= order
+        open_ = s["low"] < s["high"]
+        return F.struct(
+            F.when(open_ & passed, middle + 1).otherwise(s["low"]).alias("low"),
+            F.when(open_ & ~passed, middle).otherwise(s["high"]).alias("high"),
+        )
+
+    slot = F.aggregate(steps, start, halve)["low"].cast("bigint")
+    return F.when(F.col("_cuts").isNotNull(), F.when(order.isNotNull(), slot).otherwise(F.lit(2**62)))
 
 
 def with_slot(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
@@ -92,8 +99,4 @@ def with_slot(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> Dat
     heavy = heavy_keys(df, key, order, policy)
     if heavy is None:
         return df.withColumn(SLOT, F.lit(None).cast("bigint"))
-    return (
-        with_heavy_range(df, heavy, key)
-        .withColumn(SLOT, slot_number(order))
-        .drop("_start", "_width")
-    )
+    return with_cuts(df, heavy, key).withColumn(SLOT, slot_number(order)).drop("_cuts")

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from passbook.contracts import PERSONAL_COLUMNS
+from passbook.operators.history import version_intervals
+from passbook.operators.messages import POSITION
 from passbook.operators.quality import gate
 from passbook.operators.rules import all_flags, with_flag_key
-from passbook.operators.skew import DEFAULT_POLICY, SkewPolicy
+from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy
 from passbook.plans import anomaly, marts, staging
 from passbook.plans.expectations import test_models
 from passbook.sources.calendar import dim_date
@@ -42,6 +46,15 @@ def as_view(name: str, rows: DataFrame) -> DataFrame:
     return rows
 
 
+def without_erased(accounts: DataFrame, erased: DataFrame) -> DataFrame:
+    """Accounts of erased customers say so instead of naming the customer; their tokens go too."""
+    gone = erased.select(F.col("customer_id").alias("_erased"))
+    joined = accounts.join(gone, F.col("customer_id") == F.col("_erased"), "left")
+    hidden = ["customer_id", *(f"{c}_token" for c in PERSONAL_COLUMNS["accounts"])]
+    kept = {c: F.when(F.col("_erased").isNull(), F.col(c)).otherwise(F.lit("erased")) for c in hidden}
+    return joined.withColumns(kept).select(*accounts.columns)
+
+
 def build_models(
     landing: dict[str, DataFrame],
     calendar: DataFrame,
@@ -49,22 +62,29 @@ def build_models(
     view: Callable[[str, DataFrame], DataFrame] | None = None,
     flagged_at: Column | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    drop_deleted: bool = False,
 ) -> dict[str, DataFrame]:
     """All ten models. ``table`` says how marts are kept, ``view`` how staging and features are.
 
     Without ``view`` everything that is read more than once is kept like a mart: the later models
     and the data tests then scan pruned columns instead of repeating the shuffles of staging.
+    ``drop_deleted`` erases deleted customers: they leave the customer models, and their accounts and
+    transactions keep no link to them.
     """
     keep = view or table
     m: dict[str, DataFrame] = {}
-    m["stg_customers"] = keep("stg_customers", staging.stg_customers(landing["customers"]))
-    m["stg_accounts"] = keep("stg_accounts", staging.stg_accounts(landing["accounts"], policy))
+    m["stg_customers"] = keep("stg_customers", staging.stg_customers(landing["customers"], drop_deleted))
+    accounts = staging.stg_accounts(landing["accounts"], policy)
+    if drop_deleted:
+        accounts = without_erased(accounts, staging.erased_customers(landing["customers"]))
+    m["stg_accounts"] = keep("stg_accounts", accounts)
     m["stg_transactions"] = keep(
         "stg_transactions", staging.stg_transactions(landing["transactions"])
     )
-    m["int_account_changes"] = marts.account_changes(m["stg_accounts"], policy=policy)
+    changes = keep("account_changes_in_order", marts.changes_in_order(m["stg_accounts"], policy=policy))
+    m["int_account_changes"] = changes.drop(*POSITION, SLOT)
     m["dim_customers"] = table("dim_customers", marts.dim_customers(m["stg_customers"]))
-    m["dim_accounts"] = table("dim_accounts", marts.dim_accounts(m["stg_accounts"], policy=policy))
+    m["dim_accounts"] = table("dim_accounts", version_intervals(changes, policy=policy))
     m["dim_date"] = table("dim_date", calendar)
     m["fact_transactions"] = table(
         "fact_transactions", marts.fact_transactions(m["stg_transactions"], m["dim_accounts"])
@@ -87,6 +107,7 @@ def rebuild(
     flagged_at: Column | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
     view: Callable[[str, DataFrame], DataFrame] | None = None,
+    drop_deleted: bool = False,
 ) -> DataFrame:
     """Build all models from the landing zone, test them, and fail if an ``error`` test fails.
 
@@ -94,6 +115,6 @@ def rebuild(
     """
     landing = {t: scan(spark, landing_base, t) for t in ("customers", "accounts", "transactions")}
     models = build_models(
-        landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy
+        landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy, drop_deleted
     )
     return gate(test_models(models))

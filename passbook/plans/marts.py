@@ -23,7 +23,12 @@ _CHANGE_COLUMNS = [
 ]
 
 
-def _changes(accounts: DataFrame, tracked: tuple[str, ...], policy: SkewPolicy) -> DataFrame:
+def changes_in_order(
+    accounts: DataFrame,
+    tracked: tuple[str, ...] = TRACKED,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Changes of a tracked column with position and slot: what versions are built from."""
     found = change_points(accounts, tracked=tracked, policy=policy, keep_slot=True)
     return found.select(
         *_CHANGE_COLUMNS, F.col("_cdc_ts_ms").alias("change_ts_ms"), *POSITION, SLOT
@@ -35,8 +40,8 @@ def account_changes(
     tracked: tuple[str, ...] = TRACKED,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Changes of a tracked column, one row each (input: ``stg_accounts``)."""
-    return _changes(accounts, tracked, policy).drop(*POSITION, SLOT)
+    """Changes of a tracked column, one row each (input: ``stg_accounts`` or ``account_events``)."""
+    return changes_in_order(accounts, tracked, policy).drop(*POSITION, SLOT)
 
 
 def dim_accounts(
@@ -44,11 +49,11 @@ def dim_accounts(
     tracked: tuple[str, ...] = TRACKED,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Type 2 account dimension (input: ``stg_accounts``).
+    """Type 2 account dimension (input: ``stg_accounts`` or ``account_events``).
 
-    Change detection and versions share one exchange on (account, slot).
+    Dropping copies, change detection and versions share one exchange on (account, slot).
     """
-    return version_intervals(_changes(accounts, tracked, policy), policy=policy)
+    return version_intervals(changes_in_order(accounts, tracked, policy), policy=policy)
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:

@@ -33,18 +33,23 @@ def stg_customers(landing: DataFrame, drop_deleted: bool = False) -> DataFrame:
     )
 
 
-def stg_accounts(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Every change of every account once, deletes left out.
+def erased_customers(landing: DataFrame) -> DataFrame:
+    """Customers whose last event deletes them."""
+    every = landing.withColumn("_last_op", F.col("_cdc_op")).withColumn("_cdc_op", F.lit("u"))
+    last = latest_per_key(every, ["customer_id"])
+    return last.filter(F.col("_last_op") == "d").select("customer_id")
+
+
+def account_events(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Changes of accounts, deletes left out, copies of re-delivered messages still in.
 
     The log position stays, because it decides the order of changes in the same millisecond, and so
     does the slot of heavy accounts: found here on the raw log (one job over two columns), it lets
     the history jobs restrict their extra work to heavy accounts before any shuffle.
+    ``marts.dim_accounts`` drops the copies on its way: the log then crosses the network once.
     """
     live = landing.filter(F.col("_cdc_op") != "d")
-    slotted = with_slot(live, "account_id", F.col("_cdc_ts_ms"), policy)
-    # copies agree in every column; account and slot are in the key so that filters on them pass
-    once = drop_redelivered(slotted, ["account_id", SLOT, *POSITION])
-    return once.select(
+    return with_slot(live, "account_id", F.col("_cdc_ts_ms"), policy).select(
         "account_id",
         "customer_id",
         *_tokens("accounts"),
@@ -61,6 +66,12 @@ def stg_accounts(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> Dat
     )
 
 
+def stg_accounts(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Every change of every account once, deletes left out."""
+    # copies agree in every column; account and slot are in the key so that filters on them pass
+    return drop_redelivered(account_events(landing, policy), ["account_id", SLOT, *POSITION])
+
+
 def stg_transactions(landing: DataFrame) -> DataFrame:
     """First event per transaction; ``created_at`` is parsed here, once."""
     return earliest_per_key(landing, ["transaction_id"]).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +29,24 @@ def scan(
     contract = landing_schema(table)
     layout = T.StructType([*contract.fields, T.StructField(BATCH, T.StringType())])
     rows = spark.read.schema(layout).parquet(table_path(base, table)).drop(BATCH)
-    day = F.concat_ws("-", "year", "month", "day")
     if since is not None:
-        rows = rows.filter(day >= since)
+        rows = rows.filter(_from(since.split("-"), lambda part, bound: part > bound))
     if until is not None:
-        rows = rows.filter(day <= until)
+        rows = rows.filter(_from(until.split("-"), lambda part, bound: part < bound))
     return rows
 
 
+def _from(parts: list[str], beyond) -> Column:
+    """Year, month and day at a day or beyond it, as comparisons of the folder columns themselves.
+
+    A catalog can then prune folders without listing them.
+    """
+    year, month, day = (F.col(c) for c in PARTITION_COLUMNS[:3])
+    y, m, d = parts
+    on = beyond(day, d) | (day == d)
+    return beyond(year, y) | ((year == y) & (beyond(month, m) | ((month == m) & on)))
+
+
 def write_rows(rows: DataFrame, base: str, table: str, batch: str | None = None) -> None:
     """Add rows below their hour folders, in a ``batch=`` folder of this write.
 
@@ -58,8 +68,20 @@ def write_rows(rows: DataFrame, base: str, table: str, batch: str | None = None)
 
 
 def compact(spark: SparkSession, base: str, table: str, target: str, **days: str) -> None:
-    """Rewrite a range of days into well-sized files below another base path."""
-    write_rows(scan(spark, base, table, **days), target, table)
+    """Rewrite a range of days into well-sized files below another base path.
+
+    Doing it again replaces what it wrote before.
+    """
+    write_rows(scan(spark, base, table, **days), target, table, "compacted")
+
+
+def day_folders(spark: SparkSession, base: str, table: str) -> list[tuple[str, str]]:
+    """(day, path) of every day folder, from three levels of folder names; no file is listed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{table_path(base, table)}/year=*/month=*/day=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    paths = [status.getPath().toString() for status in found or []]
+    return [("-".join(re.findall(r"=(\d+)", path.split(f"/{table}/")[-1])), path) for path in paths]
 
 
 def partition_files(spark: SparkSession, base: str, table: str) -> DataFrame:

@@ -16,7 +16,6 @@ from passbook.operators.envelope import (
     of_table,
 )
 from passbook.sources.landing import BATCH, table_path, write_rows
-from passbook.sources.messages import FLUSH_INTERVAL
 
 DEAD_LETTERS = "_dead_letters"
 
@@ -25,12 +24,12 @@ def ingest_batch(messages: DataFrame, table: str, base: str, salt: str, decode=d
     """One-off load: append the rows of one table, and its dead letters, to the landing zone."""
     decoded = decode(drop_tombstones(of_table(messages, table)), table)
     write_rows(landing_rows(decoded, table, salt), base, table)
-    write_dead_letters(decoded, base, table, uuid.uuid4().hex)
+    write_dead_letters(decoded, base, table, uuid.uuid4().hex, salt)
 
 
-def write_dead_letters(decoded: DataFrame, base: str, table: str, batch: str) -> None:
+def write_dead_letters(decoded: DataFrame, base: str, table: str, batch: str, salt: str) -> None:
     (
-        dead_letters(decoded)
+        dead_letters(decoded, salt)
         .withColumn(BATCH, F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -47,7 +46,6 @@ def start_ingest(
     salt: str,
     stream_id: str,
     available_now: bool = False,
-    interval: str = FLUSH_INTERVAL,
     decode=decode_json,
 ) -> StreamingQuery:
     """Stream messages of one table into the landing zone.
@@ -55,14 +53,15 @@ def start_ingest(
     Offsets are committed after a batch is written. A batch that is replayed after a failure
     overwrites exactly its own folders (``batch=<stream_id>-<batch number>`` below each hour), so a
     replay adds nothing. Give each checkpoint its own ``stream_id``. No row is dropped as late.
-    ``available_now`` takes everything present and stops.
+    Batches follow one another as the source offers them (see ``kafka_options``); ``available_now``
+    takes everything present and stops.
     """
     def write(messages_of_batch: DataFrame, number: int) -> None:
         batch = f"{stream_id}-{number}"
         decoded = decode(drop_tombstones(of_table(messages_of_batch, table)), table).persist()
         try:
             write_rows(landing_rows(decoded, table, salt), base, table, batch)
-            write_dead_letters(decoded, base, table, batch)
+            write_dead_letters(decoded, base, table, batch, salt)
         finally:
             decoded.unpersist()
 
@@ -71,8 +70,7 @@ def start_ingest(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
-    timed = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**timed).start()
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def dedup_stream(landing: DataFrame, delay: str) -> DataFrame:

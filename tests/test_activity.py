@@ -17,7 +17,7 @@ SCHEMA = (
     "transaction_type string, status string, created_at timestamp_ntz"
 )
 WHOLE = SkewPolicy()
-SPLIT = SkewPolicy(min_rows=1, max_keys=100, slot_rows=2)
+SPLIT = SkewPolicy(min_rows=1, slot_rows=2)
 POLICIES = pytest.mark.parametrize("policy", [WHOLE, SPLIT], ids=["whole", "split"])
 START = datetime(2024, 3, 1, 12)
 
@@ -122,10 +122,33 @@ def test_split_equals_whole(spark, picks):
     assert computed(spark, rows, SPLIT) == computed(spark, rows, WHOLE) == expected(rows)
 
 
-def test_heavy_keys_beyond_the_bound_stay_exact(spark):
-    rows = [(a, START + timedelta(minutes=i), "TRANSFER", 1 + i) for i in range(30) for a in "abc"]
-    one_key = SkewPolicy(min_rows=1, max_keys=1, slot_rows=3)
-    assert computed(spark, rows, one_key) == expected(rows)
+@pytest.mark.parametrize("slot_rows", [1, 3, 1000])
+def test_values_do_not_depend_on_the_split(spark, slot_rows):
+    """Bit-equal, deviation included."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice(["a", "a", "b", None]), START + timedelta(minutes=rng.randrange(9000)), rng.choice(["TRANSFER", "PAYMENT"]), rng.randrange(1, 10**7) / 100)
+        for _ in range(200)
+    ]
+    plain, split = (
+        sorted(map(repr, with_activity(frame(spark, rows), policy=p).select("transaction_id", *FEATURES).collect()))
+        for p in (WHOLE, SkewPolicy(min_rows=20, slot_rows=slot_rows))
+    )
+    assert plain == split
+
+
+def test_uneven_times_are_cut_evenly(spark):
+    """Most rows within one hour of ten years."""
+    from pyspark.sql import functions as F
+
+    from passbook.operators.skew import SLOT, with_slot
+
+    hour, years = 3_600_000_000, 10 * 365 * 24 * 3_600_000_000
+    at = F.when(F.col("id") % 5 != 0, F.lit(5 * hour) + F.pmod(F.xxhash64("id"), F.lit(hour))).otherwise(F.pmod(F.xxhash64("id"), F.lit(years)))
+    rows = spark.range(200_000).select(F.lit("a").alias("k"), at.alias("t"))
+    slots = with_slot(rows, "k", F.col("t"), SkewPolicy(min_rows=1000, slot_rows=1000)).groupBy(SLOT).count()
+    assert slots.agg({"count": "max"}).first()[0] <= 2000
+    assert slots.count() >= 150
 
 
 @POLICIES

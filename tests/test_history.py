@@ -14,7 +14,7 @@ LOG = (
     "_kafka_partition int, _kafka_offset bigint"
 )
 WHOLE = SkewPolicy()
-SPLIT = SkewPolicy(min_rows=1, max_keys=100, slot_rows=1)
+SPLIT = SkewPolicy(min_rows=1, slot_rows=1)
 POLICIES = pytest.mark.parametrize("policy", [WHOLE, SPLIT], ids=["whole", "split"])
 
 
@@ -139,7 +139,7 @@ def test_deleted_and_redelivered_accounts(spark, policy):
 def test_stray_times_do_not_spoil_the_slots(spark):
     rows = [("a", t % 5, "ACTIVE", 10**12 + t, t) for t in range(1, 400)]
     rows += [("a", 9, "ACTIVE", 0, 1000), ("a", 9, "ACTIVE", 10**14, 1001)]
-    policy = SkewPolicy(min_rows=10, max_keys=5, slot_rows=20)
+    policy = SkewPolicy(min_rows=10, slot_rows=20)
     slots = change_points(log(spark, rows), policy=policy, keep_slot=True).groupBy(SLOT).count()
     assert slots.agg({"count": "max"}).first()[0] <= 40
     assert changed_offsets(spark, rows, policy) == changed_offsets(spark, rows, WHOLE)

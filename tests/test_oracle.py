@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_point
+from oracle_queries import SQL
+from spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,15 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
+
+
+def test_some_transaction_meets_two_rules():
+    duck = compare.connect("/root/testdata/sf0.01")
+    hits = f"SELECT transaction_id FROM ({SQL['mart_suspicious_transactions']}) GROUP BY 1 HAVING count(DISTINCT rule_code) > 1"
+    assert duck.execute(f"SELECT count(*) FROM ({hits})").fetchone()[0] > 0
+    codes = f"SELECT count(DISTINCT rule_code) FROM ({SQL['mart_suspicious_transactions']})"
+    assert duck.execute(codes).fetchone()[0] == 3
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -25,5 +35,4 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_returns_rows(spark):
     rows = entry_point.entry(spark)
-    assert rows.count() == 6
-    assert set(rows.select("rule_code").distinct().toPandas()["rule_code"]) == {"DORMANT_SPIKE"}
+    assert rows.count() > 0 and "rule_code" in rows.columns
