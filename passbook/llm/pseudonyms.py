@@ -68,7 +68,7 @@ def permuted_digits(digits: Column, key: str, tweak: str) -> Column:
     """A string of 1 to 36 digits permuted within its length."""
     size = F.length(digits)
     cut = F.floor(size / 2).cast("int")
-    low = F.coalesce(F.substring(digits, F.lit(1), cut).cast("long"), F.lit(0))
+    low = F.when(cut > 0, F.substring(digits, F.lit(1), cut).cast("long")).otherwise(F.lit(0))
     high = F.substring(digits, cut + 1, size).cast("long")
     ten = F.lit(10.0)
     pair = permuted_pair(low, high, F.pow(ten, cut), F.pow(ten, size - cut), key, tweak)
