@@ -7,7 +7,7 @@ are computed for many texts at once, without a Python loop over words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -68,14 +68,20 @@ class Words:
     doc: np.ndarray  # text of each word, from 0
     text_starts: np.ndarray
     text_ends: np.ndarray
+    sums: np.ndarray | None = field(default=None, repr=False)  # of the bytes so far, for hashes
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        if not len(self.starts):
+        return self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hashes of spans of bytes: equal bytes, equal hash."""
+        if not len(starts):
             return np.empty(0, dtype=np.uint64)
-        total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_SEEDS[self.data] * _powers(len(self.data), _FACTOR), dtype=np.uint64, out=total[1:])
-        return mixed((total[self.ends] - total[self.starts]) * _powers(len(self.data), _INVERSE)[self.starts])
+        if self.sums is None:
+            self.sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(_SEEDS[self.data] * _powers(len(self.data), _FACTOR), dtype=np.uint64, out=self.sums[1:])
+        return mixed((self.sums[ends] - self.sums[starts]) * _powers(len(self.data), _INVERSE)[starts])
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n)

@@ -1,7 +1,7 @@
 """Toxicity: misspelled lexicon terms by Levenshtein automata over a trie, weighed by context.
 
 * The lexicon is learned from labelled documents: words (and stems, the first ``STEM`` letters of longer
-  words) that are in toxic documents far more often than chance allows.
+  words, if a family of words shares them) that are in toxic documents far more often than chance allows.
 * Each distinct word of a text runs a Levenshtein automaton against the trie of the lexicon: a trie node is
   entered with the automaton's state (the edit distances to all beginnings of the word), and a
   branch ends when no distance is within the bound. Letter sets screen out most words before.
@@ -31,7 +31,7 @@ from passbook.llm import textbatch
 from passbook.llm.columns import quoted
 from passbook.workspace import stored
 
-LABELLED_ROWS = 20_000
+LABELLED_ROWS = 8_000
 STEM = 5
 NEAR = 8  # words on either side that make a context
 QUOTED = 0.25  # weight of a quoted hit
@@ -40,6 +40,9 @@ CHANCE = 1e-9  # a term is learned if chance explains its share of toxic documen
 LEVEL = 0.3
 LONGEST = 64  # letters of a word that can be near a term
 CROWD = 3  # words of other documents near a term that may have edits
+MISSPELLED = 64  # terms, the most frequent ones, whose misspellings are looked for
+TURN = 5_000  # words of other documents searched for neighbours at a time
+FAMILY = 4  # words with one stem that make a family
 CLEAR = 1 << 20  # words without hit that a task remembers
 # Words that report, name or define what follows.
 REPORTING = frozenset(
@@ -167,6 +170,20 @@ def letter_sets(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
 _BIT = np.uint64(1) << (np.arange(256, dtype=np.uint64) % np.uint64(64))
 
 
+def hashes_of(words: list[str]) -> np.ndarray:
+    """The hashes that ``textbatch`` gives words of letters and digits."""
+    blocks = textbatch.blocks(pa.array([" ".join(words)]), textbatch.ALPHANUMERIC)
+    return np.concatenate([b.hashes() for b in blocks])
+
+
+def stem_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of more than ``STEM`` letters, and for each word where its stem ends."""
+    letters = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of letters
+    at = np.searchsorted(letters, starts) + STEM
+    stops = np.where(at < len(letters), letters[np.minimum(at, len(letters) - 1)], len(data))
+    return np.flatnonzero(stops < ends), stops
+
+
 def is_quoted(words: textbatch.Words, k: int) -> bool:
     """Whether word ``k`` stands between quotation marks or soon after a word of reporting."""
     first, last = max(0, k - NEAR), min(len(words.starts) - 1, k + NEAR)
@@ -188,19 +205,23 @@ def is_quoted(words: textbatch.Words, k: int) -> bool:
 
 @dataclass
 class Model:
-    lexicon: Lexicon
-    weights: np.ndarray  # of the terms
-    stems: dict[str, float]
+    terms: dict[str, float]  # weights of the words
+    stems: dict[str, float]  # weights of stems with a family of words
+    lexicon: Lexicon  # the terms that may be misspelled
     harmless: frozenset[str]  # near a term, but at home in other documents
     coefficients: np.ndarray
     seen: dict[int, tuple[float, float]] = field(default_factory=dict)  # by word hash: (exact or near, stem)
     clear: np.ndarray | None = None  # word hashes without hit, by their last bits
 
+    def __post_init__(self):
+        self.exact, self.beginnings = hashes_of(list(self.terms)), hashes_of(list(self.stems))
+
     def _weigh(self, word: str) -> tuple[float, float]:
-        hit = self.lexicon.nearest(word) if len(word) < LONGEST else None
-        weight = 0.0
-        if hit is not None and not (hit[1] and word in self.harmless):
-            weight = float(self.weights[hit[0]]) / (1 + hit[1])
+        weight = self.terms.get(word, 0.0)
+        if not weight and len(word) < LONGEST and word not in self.harmless:
+            hit = self.lexicon.nearest(word)
+            if hit is not None:
+                weight = self.terms[self.lexicon.terms[hit[0]]] / (1 + hit[1])
         return weight, self.stems.get(word[:STEM], 0.0) if len(word) > STEM else 0.0
 
     def hits(self, words: textbatch.Words) -> list[tuple[int, float, float]]:
@@ -217,9 +238,10 @@ class Model:
             return []
         distinct, first = np.unique(hashes[open_], return_index=True)
         first = open_[first]
-        sizes = (words.ends - words.starts)[first]
-        may = self.lexicon.screened(words.data, words.starts[first], sizes)
-        may |= self._stem_like(words, first, sizes)
+        starts, ends = words.starts[first], words.ends[first]
+        may = np.isin(distinct, self.exact) | self.lexicon.screened(words.data, starts, ends - starts)
+        long, stops = stem_ends(words.data, starts, ends)
+        may[long] |= np.isin(words.span_hashes(starts[long], stops[long]), self.beginnings)
         self.clear[slots[first[~may]]] = distinct[~may]
         if len(self.seen) > 200_000:  # what a worker remembers is bounded
             self.seen.clear()
@@ -236,17 +258,6 @@ class Model:
         places = np.flatnonzero(np.isin(hashes, np.array(list(found), dtype=np.uint64)))
         return [(k, *found[int(hashes[k])]) for k in places.tolist()]
 
-    def _stem_like(self, words: textbatch.Words, which: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Words whose first bytes are those of a stem."""
-        may = np.zeros(len(which), dtype=bool)
-        starts = words.starts[which]
-        for stem in self.stems:
-            raw = np.frombuffer(stem.encode(), dtype=np.uint8)
-            at = np.flatnonzero(sizes > len(raw))
-            same = words.data[starts[at, None] + np.arange(len(raw))] == raw
-            may[at[same.all(axis=1)]] = True
-        return may
-
     def features(self, words: textbatch.Words) -> np.ndarray:
         """Sums of hits by text; see ``NAMES``."""
         rows = np.zeros((words.n, len(NAMES)))
@@ -279,50 +290,95 @@ class Model:
 NAMES = ("terms", "strongest", "stems", "terms_by_size", "stems_by_size", "log_terms", "log_stems", "log_words", "one")
 
 
-def learned_terms(toxic: Counter, other: Counter, n_toxic: int, n_other: int) -> dict[str, float]:
-    """Terms whose documents are toxic far beyond chance, with the log odds ratio as weight.
+def learned(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which terms' documents are toxic far beyond chance, and the log odds ratio of each as its weight.
 
     ``toxic, other``: documents with the term. The chance of so many toxic ones among all its
     documents is bounded by Chernoff's inequality.
     """
     share = n_toxic / max(1, n_toxic + n_other)
-    found = {}
-    for term, a in toxic.items():
-        b = other.get(term, 0)
-        p = a / (a + b)
-        if a < 3 or p <= share:
-            continue
-        q = max(1 - p, 1e-12)
-        exponent = (a + b) * (p * np.log(p / share) + (q * np.log(q / (1 - share)) if b else 0.0))
-        if np.exp(-exponent) * max(len(toxic), 1) ** 0.5 < CHANCE ** 0.5:
-            found[term] = float(np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_other + 1)))
-    return found
+    p = toxic / np.maximum(toxic + other, 1)
+    q = np.maximum(1 - p, 1e-12)
+    exponent = (toxic + other) * (
+        p * np.log(np.maximum(p, 1e-12) / share) + np.where(other > 0, q * np.log(q / (1 - share)), 0.0)
+    )
+    chosen = (toxic >= 3) & (p > share) & (exponent > -0.5 * np.log(CHANCE) + 0.5 * np.log(max(1, (toxic > 0).sum())))
+    weights = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((other + 0.5) / (n_other + 1))
+    return chosen, weights
+
+
+class Vocabulary:
+    """Documents by word and label, counted by word hash; words are read back from where they first stood."""
+
+    def __init__(self):
+        self.blocks: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, words: textbatch.Words, ends: np.ndarray, which: np.ndarray, toxic: np.ndarray) -> None:
+        """Counts the words ``which`` up to ``ends``: once for each text."""
+        starts, ends, doc = words.starts[which], ends[which], words.doc[which]
+        hashes = words.span_hashes(starts, ends)
+        order = np.lexsort((hashes, doc))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+        once = order[new]
+        place = np.full(len(once), len(self.blocks))
+        self.parts.append((hashes[once], toxic[words.first + doc[once]], place, starts[once], ends[once]))
+        self.blocks.append(words.data)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Toxic and other documents of each distinct word, and the row of ``parts`` that has it first."""
+        self.all = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        _, first, inverse = np.unique(self.all[0], return_index=True, return_inverse=True)
+        toxic = np.bincount(inverse, self.all[1], minlength=len(first)).astype(np.int64)
+        return toxic, np.bincount(inverse, minlength=len(first)) - toxic, first
+
+    def words(self, rows: np.ndarray) -> list[str]:
+        _, _, place, start, end = self.all
+        return [self.blocks[place[r]][start[r] : end[r]].tobytes().decode("utf-8", "replace") for r in rows.tolist()]
 
 
 def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     """The model of labelled texts; the same rows give the same model."""
-    counts = {True: Counter(), False: Counter()}
-    stem_counts = {True: Counter(), False: Counter()}
+    vocabulary, beginnings = Vocabulary(), Vocabulary()
     for words in textbatch.blocks(texts, textbatch.ALPHANUMERIC):
-        bounds = np.concatenate(([0], np.cumsum(words.counts())))
-        for row in range(words.n):
-            own = {words.word(k) for k in range(bounds[row], bounds[row + 1])}
-            label = bool(toxic[words.first + row])
-            counts[label].update(own)
-            stem_counts[label].update({w[:STEM] for w in own if len(w) > STEM})
-    n_toxic = int(toxic.sum())
-    sizes = n_toxic, len(toxic) - n_toxic
-    terms = learned_terms(counts[True], counts[False], *sizes)
-    stems = learned_terms(stem_counts[True], stem_counts[False], *sizes)
-    names = sorted(terms)
-    lexicon = Lexicon(names)
-    # words near a term that other documents use are not misspellings of it, and a term with many such
+        if len(words.starts):
+            vocabulary.add(words, words.ends, np.arange(len(words.starts)), toxic)
+            long, stops = stem_ends(words.data, words.starts, words.ends)
+            beginnings.add(words, stops, long, toxic)
+    sizes = int(toxic.sum()), len(toxic) - int(toxic.sum())
+    terms: dict[str, float] = {}
+    stems: dict[str, float] = {}
+    families: Counter = Counter()
+    often: dict[str, int] = {}
+    others: list[str] = []
+    if vocabulary.parts:
+        for found, counted in ((terms, vocabulary), (stems, beginnings)):
+            a, b, first = counted.counts()
+            chosen, weights = learned(a, b, *sizes)
+            found |= sorted(zip(counted.words(first[chosen]), weights[chosen].tolist(), strict=True))
+            if counted is vocabulary:
+                families.update(w[:STEM] for w in counted.words(first[a > 0]) if len(w) > STEM)
+                often = dict(zip(counted.words(first[chosen]), a[chosen].tolist(), strict=True))
+                others = sorted(counted.words(first[(b > 1) & ~chosen]))
+    stems = {s: w for s, w in stems.items() if families[s] >= FAMILY}
+    # a term of a family has relatives in place of misspellings, and the stem finds them
+    alone = [t for t in terms if t[:STEM] not in stems]
+    lexicon = Lexicon(sorted(sorted(alone, key=lambda t: (-often[t], t))[:MISSPELLED]))
+    # words near a term that several other documents use are not misspellings of it, and a term with many such
     # neighbours has no misspellings that could be told apart: it is matched as it is
-    near = near_words(lexicon, sorted(w for w in counts[False] if w not in terms))
-    neighbours = Counter(term for _, term in near)
-    lexicon = Lexicon(names, [0 if neighbours[k] > CROWD else b for k, b in enumerate(lexicon.bound)])
-    harmless = frozenset(w for w, _ in near)
-    model = Model(lexicon, np.array([terms[t] for t in names]), stems, harmless, np.zeros(len(NAMES)))
+    # (in turns, so that a crowded term is not searched for again and again)
+    near: list[tuple[str, int]] = []
+    neighbours: Counter = Counter()
+    turns = max(1, -(-len(others) // TURN))
+    for turn in range(turns):
+        some = near_words(lexicon, others[turn::turns])
+        near += some
+        neighbours.update(term for _, term in some)
+        bound = [0 if neighbours[k] > CROWD else b for k, b in enumerate(lexicon.bound)]
+        if bound != lexicon.bound:
+            lexicon = Lexicon(lexicon.terms, bound)
+    model = Model(terms, stems, lexicon, frozenset(w for w, _ in near), np.zeros(len(NAMES)))
     x = np.concatenate([model.features(w) for w in textbatch.blocks(texts, textbatch.ALPHANUMERIC)])
     model.coefficients = logistic(x, toxic.astype(float))
     model.seen.clear()
