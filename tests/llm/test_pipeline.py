@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import cases
 import corpus_pipeline
 import pytest
 from passbook.llm import mixing, quality, sequences
@@ -89,3 +90,19 @@ def test_run_equals_the_stages(spark, stages):
     ran = corpus_pipeline.run(spark, SF).collect()
     found = Counter((i, n) for b in ran for i, n in zip(b.doc_ids, b.n_tokens))
     assert found == Counter((i, n) for b in stages[4][2].collect() for i, n in zip(b.doc_ids, b.n_tokens))
+
+
+CLASHING = ("key", "size", "fp", "text_key", "simhash_id", "mix_key", "mix_finish", "quality_tails", "doc_ids", "payload", "part")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_edge_rows(spark, name, stage):
+    """Nulls, blank and very long texts, repeated rows and ids, and extra columns with the stages' own names."""
+    docs = cases.frame(spark, CLASHING)
+    result = stage(spark, docs, SF)
+    if stage is corpus_pipeline.token_shards:
+        assert sum(len(b.doc_ids) for b in result.collect()) >= len(cases.rows())
+    else:
+        assert result.columns == docs.columns
+        assert {r[:2] for r in cases.bag(result, "doc_id", "text")} <= {r[:2] for r in cases.rows()}
+    assert stage(spark, cases.empty(spark), SF).count() == 0
