@@ -93,9 +93,9 @@ def fit(texts: pa.Array, grades: np.ndarray, epochs: int = EPOCHS) -> Model:
             keys, counts = np.unique(text * size + slot_, return_counts=True)
             which = keys // size
             per_text = np.bincount(text, minlength=words.n)
-            rows.append(words.first + which)
-            slots.append(keys % size)
-            values.append(SCALE * counts / per_text[which])
+            rows.append((words.first + which).astype(np.int32))
+            slots.append((keys % size).astype(np.int32))
+            values.append((SCALE * counts / per_text[which]).astype(np.float32))
     row, slot, value = (np.concatenate(x) if x else np.empty(0, int) for x in (rows, slots, values))
     weights, steps = np.zeros(size), np.full(size, 1e-8)
     # the thresholds start where the grades' shares put them; gaps stay positive as exponentials
