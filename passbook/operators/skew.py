@@ -11,7 +11,7 @@ aggregation). Windows do not: every row of a key meets in one task. The jobs her
 3. run the window per (key, slot) and hand the state at the end of a slot to the next one through
    a table with one row per slot.
 
-Keys that are not heavy have no slot (null) and need no hand-over. A null key is a key like any other.
+Keys that are not heavy have no slot (null) and need no hand-over.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ SLOT = "_slot"
 #: Quantiles taken of a heavy key. A key of more than CUTS * slot_rows rows gets CUTS equal slots.
 CUTS = 1000
 _ACCURACY = 20 * CUTS
+#: A list of so many keys, 8 kB each at most, is sent to the tasks; a longer one is joined.
+SENT_KEYS = 4000
 
 
 @dataclass(frozen=True)
@@ -38,14 +40,17 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame | None:
+def heavy_keys(
+    df: DataFrame, key: str, order: Column, policy: SkewPolicy, with_null: bool = True
+) -> DataFrame | None:
     """The heavy keys with the cut points of their slots (``_key, _cuts``), or None.
 
     Runs one job now, and a second one over the heavy keys' rows if there are any. The list is stored:
     every branch of a plan splits by the same keys, even if a lost executor makes Spark compute a
     branch again, and a table without heavy keys gets a plan without any splitting.
     """
-    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df if with_null else df.filter(F.col(key).isNotNull())
+    counts = keyed.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     heavy = stored(counts.filter(F.col("_n") >= policy.min_rows), "heavy_keys")
     if heavy.isEmpty():
         return None
@@ -66,8 +71,9 @@ def heavy_keys(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> Da
 
 
 def with_cuts(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    """Add ``_cuts`` of the row's key; null for ordinary keys. Spark broadcasts the list if it is small."""
-    return df.join(heavy, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    """Add ``_cuts`` of the row's key; null for ordinary keys."""
+    small = heavy.count() <= SENT_KEYS
+    return df.join(F.broadcast(heavy) if small else heavy, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def slot_number(order: Column) -> Column:
@@ -94,9 +100,12 @@ def slot_number(order: Column) -> Column:
 def with_slot(df: DataFrame, key: str, order: Column, policy: SkewPolicy) -> DataFrame:
     """Find the heavy keys of ``df`` (a job) and add the slot column.
 
-    Without heavy keys the slot is a null constant: the optimizer then removes all hand-over.
+    Without heavy keys the slot is a null constant: the optimizer then removes all hand-over. A null key gets
+    no slot, so that slots can be joined by plain equality, which keeps the rows where they are.
     """
-    heavy = heavy_keys(df, key, order, policy)
+    heavy = heavy_keys(df, key, order, policy, with_null=False)
     if heavy is None:
         return df.withColumn(SLOT, F.lit(None).cast("bigint"))
-    return with_cuts(df, heavy, key).withColumn(SLOT, slot_number(order)).drop("_cuts")
+    slotted = with_cuts(df, heavy, key).withColumn(SLOT, slot_number(order)).drop("_cuts")
+    # dealt by both: after a join that dealt rows by key alone, all slots of a key would stay together
+    return slotted.repartition(key, SLOT)

@@ -143,3 +143,25 @@ def test_stray_times_do_not_spoil_the_slots(spark):
     slots = change_points(log(spark, rows), policy=policy, keep_slot=True).groupBy(SLOT).count()
     assert slots.agg({"count": "max"}).first()[0] <= 40
     assert changed_offsets(spark, rows, policy) == changed_offsets(spark, rows, WHOLE)
+
+
+def test_account_log_crosses_the_network_once(spark):
+    import spark_queries
+
+    plan = spark_queries.QUERIES["scd2_accounts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+
+
+@POLICIES
+def test_copies_are_no_changes(spark, policy):
+    rows = [("a", t % 3, "ACTIVE", 1000 * t, t) for t in range(1, 12)]
+    twice = [r for r in rows for _ in range(1 + r[4] % 3)]
+    assert changed_offsets(spark, twice, policy) == changed_offsets(spark, rows, WHOLE)
+
+
+@POLICIES
+def test_facts_without_key_stay_without_version(spark, policy):
+    held = versions(spark, [("a", 1, "ACTIVE", 1000, 1)], policy)
+    facts = spark.createDataFrame([(1, None, datetime(2024, 1, 1)), (2, "a", datetime(2024, 1, 1))], "id int, account string, at timestamp_ntz")
+    found = as_of(facts, held, "account", "at", ["balance"], policy=policy).collect()
+    assert {r.id: r.balance is None for r in found} == {1: True, 2: False}
