@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,66 +105,42 @@ def partition_files(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 # --- foreign files, whose schema was inferred file by file -----------------------------------
 
-# Spark type → name of the Arrow type a column is handed over as. Decimals travel as
-# text, which keeps every digit whatever scale a file chose; Spark then rounds to the contract.
-_HANDED_OVER = {
-    "string": "string",
-    "bigint": "int64",
-    "int": "int32",
-    "double": "float64",
-    "boolean": "bool",
-    "date": "date32",
-}
+READERS = 16  # footers read at a time
 
 
-def _file_reader(names: list[str], kinds: list[str]):
-    """Task function: paths in, rows of those files out, by column name and in one schema."""
+def _as_contract(rows: DataFrame, contract: T.StructType) -> DataFrame:
+    """The contract's columns by name; what is missing or does not fit its type becomes null."""
+    found = {f.name: f.dataType for f in rows.schema.fields}
 
-    def read(batches):
-        import pyarrow as pa
-        import pyarrow.fs as fs
-        import pyarrow.parquet as pq
+    def column(field: T.StructField) -> Column:
+        if field.name not in found:
+            return F.lit(None).cast(field.dataType)
+        if found[field.name] == field.dataType:
+            return F.col(field.name)
+        # as text: keeps every digit whatever scale a file chose, and a column without values fits any type
+        return F.col(field.name).cast("string").try_cast(field.dataType)
 
-        wanted = pa.schema([(n, pa.type_for_alias(k)) for n, k in zip(names, kinds)])
-
-        def column(rows, field):
-            position = rows.schema.get_field_index(field.name)
-            if position < 0 or pa.types.is_null(rows.column(position).type):
-                return pa.nulls(rows.num_rows, field.type)
-            return rows.column(position).cast(field.type)
-
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                uri = re.sub(r"^file:/+", "file:///", path).replace("s3a://", "s3://", 1)
-                files, inner = fs.FileSystem.from_uri(uri)
-                with pq.ParquetFile(inner, filesystem=files) as file:
-                    present = [n for n in names if n in file.schema_arrow.names]
-                    for rows in file.iter_batches(columns=present):
-                        yield pa.RecordBatch.from_arrays(
-                            [column(rows, f) for f in wanted], schema=wanted
-                        )
-
-    return read
+    return rows.select(*(column(f).alias(f.name) for f in contract.fields))
 
 
 def reconcile(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """Read files whose schemas differ, by column name, as the contract's types.
 
-    Missing columns and columns without any value become nulls; decimals of any precision and
-    scale are cast. Spark packs the file list into tasks by size and each task reads its files
-    batch by batch, so neither the driver nor a task ever holds the list of schemas or a whole
-    table. Meant for a one-off conversion of files other programs wrote; own files are read with
-    ``scan``.
+    Files with the same schema are read together by Spark's own reader, with its column pruning, splitting and
+    file systems, and the groups are put together. Missing columns and columns without any value become
+    nulls; decimals of any precision and scale are rounded to the contract, numbers out of its range are null.
+    The file names and one schema per file pass through the driver, as they do when Spark lists a
+    table. Meant for a one-off conversion of files other programs wrote; own files are read with ``scan``.
     """
-    kinds = [_HANDED_OVER.get(f.dataType.simpleString(), "string") for f in contract.fields]
-    plain = {v: k for k, v in _HANDED_OVER.items()}
-    handed_over = ", ".join(f"`{f.name}` {plain[k]}" for f, k in zip(contract.fields, kinds))
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
-    )
-    rows = files.mapInArrow(_file_reader(contract.names, kinds), handed_over)
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in contract.fields])
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    files = sorted(r["path"] for r in listing.load(path).select("path").toLocalIterator())
+    with ThreadPoolExecutor(READERS) as pool:
+        schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
+    groups: dict[str, list[str]] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema.json(), []).append(file)
+    parts = [
+        _as_contract(spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*members), contract)
+        for schema, members in groups.items()
+    ]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], contract))

@@ -299,11 +299,16 @@ def test_reconcile_foreign_files(spark, tmp_path):
     write("a", transaction_id=["1"], amount=pa.array([d("1.5")], pa.decimal128(3, 1)), description=pa.nulls(1))
     write("b", transaction_id=["2"], amount=pa.array([d("22.25")], pa.decimal128(9, 2)), description=["x"])
     write("c", amount=pa.array([d("3.1250")], pa.decimal128(9, 4)), transaction_id=["3"])
+    write("e", amount=pa.array([7], pa.int32()), transaction_id=["4"])
+    write("f", amount=pa.array([10**17 * 1.0], pa.float64()), transaction_id=["5"])  # out of range
+    write("g", amount=pa.array([d("8.50")], pa.decimal128(9, 2)), description=["y"], transaction_id=["6"])
     contract = landing_schema("transactions", with_partitions=False)
     rows = landing.reconcile(spark, str(tmp_path), contract)
     assert rows.schema.names == contract.names
     found = {r.transaction_id: (str(r.amount), r.description) for r in rows.collect()}
-    assert found == {"1": ("1.50", None), "2": ("22.25", "x"), "3": ("3.13", None)}
+    expected = {"1": ("1.50", None), "2": ("22.25", "x"), "3": ("3.13", None), "4": ("7.00", None), "5": ("None", None), "6": ("8.50", "y")}
+    assert found == expected
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
     assert dict(rows.dtypes)["amount"] == "decimal(18,2)"
 
 
