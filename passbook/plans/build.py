@@ -17,6 +17,7 @@ from passbook.plans import anomaly, marts, staging
 from passbook.plans.expectations import test_models
 from passbook.sources.calendar import dim_date
 from passbook.sources.landing import scan, table_path
+from passbook.workspace import temporary_tables
 
 TABLES = [
     "dim_customers",
@@ -114,7 +115,9 @@ def rebuild(
     Pass ``view=as_view`` to keep staging and features as views. Returns the test results.
     """
     landing = {t: scan(spark, landing_base, t) for t in ("customers", "accounts", "transactions")}
-    models = build_models(
-        landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy, drop_deleted
-    )
-    return gate(test_models(models))
+    with temporary_tables(spark):
+        models = build_models(
+            landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy, drop_deleted
+        )
+        results = gate(test_models(models))
+        return spark.createDataFrame(results.collect(), results.schema)  # one row per test

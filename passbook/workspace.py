@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_MADE: list[str] = []  # paths given out by this process, oldest first
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,7 +34,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, so that no run overwrites another."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Owner of the intermediate tables made inside: they are removed at the end.
+
+    Results of jobs inside are lazy and read those tables, so write or collect them before it ends.
+    """
+    first = len(_MADE)
+    try:
+        yield
+    finally:
+        paths = _MADE[first:]
+        del _MADE[first:]
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -202,3 +202,17 @@ def test_scalars(spark):
     assert row[:4] == (1.0, "12345678.5", "59.1", "7.0")
     assert row.e == hashlib.md5(b"x|5").hexdigest()
     assert row.f is None and row.g == datetime(2024, 1, 1, 10, 0, 0, 500000) and row.h == "accounts"
+
+
+def test_intermediate_tables_have_an_owner(spark):
+    import os
+
+    from passbook.workspace import shared_folder, stored, temporary_tables
+
+    kept = stored(spark.range(3), "kept")
+    with temporary_tables(spark):
+        inner = stored(spark.range(5), "inner")
+        assert inner.count() == 5
+    folder = shared_folder(spark).removeprefix("file:")
+    assert not [n for n in os.listdir(folder) if n.startswith("inner-")]
+    assert kept.count() == 3
