@@ -104,7 +104,7 @@ def decoded_only(decoded: DataFrame) -> DataFrame:
 def hide_personal_data(
     decoded: DataFrame,
     table: str,
-    salt: str,
+    salt: str | Column,
     policy: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Replace personal columns by tokens in both row images of the envelope."""
@@ -184,7 +184,24 @@ def with_partitions(landing: DataFrame) -> DataFrame:
     return landing.withColumns(padded).drop(ARRIVED)
 
 
-def landing_rows(decoded: DataFrame, table: str, salt: str) -> DataFrame:
-    """Decoded messages → tokenised, flattened rows with partition columns."""
-    hidden = hide_personal_data(decoded_only(decoded), table, salt)
-    return with_partitions(flatten(hidden, table))
+def with_subject_key(decoded: DataFrame, keys: DataFrame, subject: str = "customer_id") -> DataFrame:
+    """Add ``_secret``, the key of the person a row is about; null if the key does not exist or was deleted.
+
+    ``keys`` holds (subject, token_key). It grows with the bank, so nothing is forced to be broadcast.
+    """
+    person = F.coalesce(F.col(f"envelope.after.{subject}"), F.col(f"envelope.before.{subject}"))
+    secrets = keys.select(F.col(subject).alias("_subject"), F.col("token_key").alias("_secret"))
+    return decoded.withColumn("_person", person).join(secrets, F.col("_person") == F.col("_subject"), "left")
+
+
+def landing_rows(decoded: DataFrame, table: str, salt: str, keys: DataFrame | None = None) -> DataFrame:
+    """Decoded messages → tokenised, flattened rows with partition columns.
+
+    With ``keys``, tables that hold personal data are tokenised under each person's own key in place of the
+    salt: deleting the key makes that person's tokens meaningless.
+    """
+    rows = decoded_only(decoded)
+    secret: str | Column = salt
+    if keys is not None and PERSONAL_COLUMNS.get(table):
+        rows, secret = with_subject_key(rows, keys), F.col("_secret")
+    return with_partitions(flatten(hide_personal_data(rows, table, secret), table))

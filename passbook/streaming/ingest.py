@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from passbook.contracts import SOURCE_TABLES
 from passbook.operators.envelope import (
     dead_letters,
     decode_json,
@@ -20,10 +22,12 @@ from passbook.sources.landing import BATCH, table_path, write_rows
 DEAD_LETTERS = "_dead_letters"
 
 
-def ingest_batch(messages: DataFrame, table: str, base: str, salt: str, decode=decode_json) -> None:
+def ingest_batch(
+    messages: DataFrame, table: str, base: str, salt: str, decode=decode_json, keys: DataFrame | None = None
+) -> None:
     """One-off load: append the rows of one table, and its dead letters, to the landing zone."""
     decoded = decode(drop_tombstones(of_table(messages, table)), table)
-    write_rows(landing_rows(decoded, table, salt), base, table)
+    write_rows(landing_rows(decoded, table, salt, keys), base, table)
     write_dead_letters(decoded, base, table, uuid.uuid4().hex, salt)
 
 
@@ -47,6 +51,7 @@ def start_ingest(
     stream_id: str,
     available_now: bool = False,
     decode=decode_json,
+    keys: DataFrame | None = None,
 ) -> StreamingQuery:
     """Stream messages of one table into the landing zone.
 
@@ -54,13 +59,13 @@ def start_ingest(
     overwrites exactly its own folders (``batch=<stream_id>-<batch number>`` below each hour), so a
     replay adds nothing. Give each checkpoint its own ``stream_id``. No row is dropped as late.
     Batches follow one another as the source offers them (see ``kafka_options``); ``available_now``
-    takes everything present and stops.
+    takes everything present and stops. ``keys`` holds tokens' keys per person (see ``landing_rows``).
     """
     def write(messages_of_batch: DataFrame, number: int) -> None:
         batch = f"{stream_id}-{number}"
         decoded = decode(drop_tombstones(of_table(messages_of_batch, table)), table).persist()
         try:
-            write_rows(landing_rows(decoded, table, salt), base, table, batch)
+            write_rows(landing_rows(decoded, table, salt, keys), base, table, batch)
             write_dead_letters(decoded, base, table, batch, salt)
         finally:
             decoded.unpersist()
@@ -73,6 +78,25 @@ def start_ingest(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_all(
+    source: Callable[[str], DataFrame],
+    base: str,
+    checkpoint: str,
+    salt: str,
+    stream_id: str,
+    tables: tuple[str, ...] = tuple(SOURCE_TABLES),
+    **options,
+) -> dict[str, StreamingQuery]:
+    """One stream per table, each with its own checkpoint below ``checkpoint``.
+
+    ``source`` gives the messages of a table's topic; ``options`` as for ``start_ingest``.
+    """
+    return {
+        table: start_ingest(source(table), table, base, f"{checkpoint}/{table}", salt, stream_id, **options)
+        for table in tables
+    }
+
+
 def dedup_stream(landing: DataFrame, delay: str) -> DataFrame:
     """Drop copies that arrive within ``delay`` of each other while still streaming.
 

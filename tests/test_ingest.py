@@ -12,7 +12,7 @@ from passbook.operators import envelope as ev
 from passbook.operators.messages import drop_redelivered, earliest_per_key, latest_per_key
 from passbook.sources import landing
 from passbook.sources.messages import MESSAGE_SCHEMA, file_stream, kafka_options
-from passbook.streaming.ingest import DEAD_LETTERS, dedup_stream, ingest_batch, start_ingest
+from passbook.streaming.ingest import DEAD_LETTERS, dedup_stream, ingest_batch, start_all, start_ingest
 from passbook.workspace import fresh_path
 
 SALT = "pepper"
@@ -238,6 +238,32 @@ def test_compaction_keeps_rows(spark):
     assert files == [18, 6]
 
 
+def test_tokens_under_a_key_per_person(spark):
+    values = [envelope(customer(customer_id=f"c{k}")) for k in (1, 2)] + [envelope(None, customer(customer_id="c1"), "d")]
+    keys = spark.createDataFrame([("c1", "k1"), ("c9", "k9")], "customer_id string, token_key string")
+    rows = ev.landing_rows(decoded(spark, values), "customers", SALT, keys).collect()
+    own = hashlib.sha256(b"k1:Ann").hexdigest()
+    found = {(r.customer_id, r._cdc_op): r.first_name for r in rows}
+    assert found == {("c1", "u"): own, ("c2", "u"): None, ("c1", "d"): own}  # no key, no token
+    assert "Ann" not in str(rows)
+    payment = {"transaction_id": "t", "from_account_id": "a", "amount": 5.25, "created_at": "x"}
+    moved = ev.landing_rows(decoded(spark, [envelope(payment, op="c")], "transactions"), "transactions", SALT, keys)
+    assert moved.count() == 1 and moved.schema.names == landing_schema("transactions").names
+
+
+def test_one_call_streams_all_tables(spark):
+    base = fresh_path(spark, "t")
+    account_messages(spark).unionByName(messages(spark, [envelope(customer())])).write.parquet(f"{base}/messages")
+    jobs = start_all(
+        lambda table: file_stream(spark, f"{base}/messages"), f"{base}/landing", f"{base}/checkpoints", SALT, "s",
+        tables=("accounts", "customers"), available_now=True,
+    )
+    for job in jobs.values():
+        job.awaitTermination()
+    counts = {t: landing.scan(spark, f"{base}/landing", t).count() for t in jobs}
+    assert counts == {"accounts": 40, "customers": 1}
+
+
 def test_stream_dedup(spark):
     base = fresh_path(spark, "t")
     rows = ev.landing_rows(ev.decode_json(ev.drop_tombstones(account_messages(spark, 5)), "accounts"), "accounts", SALT)
