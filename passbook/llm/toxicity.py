@@ -4,7 +4,8 @@
   words, if a family of words shares them) that are in toxic documents far more often than chance allows.
 * Each distinct word of a text runs a Levenshtein automaton against the trie of the lexicon: a trie node is
   entered with the automaton's state (the edit distances to all beginnings of the word), and a
-  branch ends when no distance is within the bound. Letter sets screen out most words before.
+  branch ends when no distance is within the bound. Every learned term is in the trie. Words that share
+  no deletion neighbour with a term are screened out before, at a cost that does not grow with the terms.
 * A hit counts less where its context quotes it (quotation marks around it, or a word of
   reporting or naming close before) and more where other hits are near.
 * A logistic model over a few sums of hits turns them into a score.
@@ -31,7 +32,7 @@ from passbook.llm import textbatch
 from passbook.llm.columns import quoted
 from passbook.workspace import stored
 
-LABELLED_ROWS = 8_000
+LABELLED_ROWS = 20_000
 STEM = 5
 NEAR = 8  # words on either side that make a context
 QUOTED = 0.25  # weight of a quoted hit
@@ -40,10 +41,11 @@ CHANCE = 1e-9  # a term is learned if chance explains its share of toxic documen
 LEVEL = 0.3
 LONGEST = 64  # letters of a word that can be near a term
 CROWD = 3  # words of other documents near a term that may have edits
-MISSPELLED = 64  # terms, the most frequent ones, whose misspellings are looked for
 TURN = 5_000  # words of other documents searched for neighbours at a time
 FAMILY = 4  # words with one stem that make a family
 CLEAR = 1 << 20  # words without hit that a task remembers
+MERGE = 1 << 18  # rows of counted words that wait to be added up
+PIECE = 1 << 18  # shortened words that are looked up at a time
 # Words that report, name or define what follows.
 REPORTING = frozenset(
     "said says wrote called calling named word words term terms quote quoted means slur insult "
@@ -71,10 +73,7 @@ class Lexicon:
     def __init__(self, terms: list[str], bound: list[int] | None = None):
         self.terms = terms
         self.bound = bound or [allowed(len(t)) for t in terms]
-        self.raw = [np.frombuffer(t.encode(), dtype=np.uint8) for t in terms]
-        self.masks = [np.bitwise_or.reduce(_BIT[r]) for r in self.raw]
-        # a letter outside ASCII has up to four bytes
-        self.wide = any(len(r) != len(t) for r, t in zip(self.raw, terms, strict=True))
+        self.index: dict[int, Neighbours] | None = None  # by edits; made when first needed
         self.root = Node()
         for k, term in enumerate(terms):
             node = self.root
@@ -124,50 +123,97 @@ class Lexicon:
                     stack.append((child, depth, tuple(row)))
         return best
 
+    def neighbours(self) -> dict[int, Neighbours]:
+        """By the edits that terms may have: the terms with up to so many letters deleted."""
+        if self.index is None:
+            self.index = {}
+            for bound in sorted(set(self.bound)):
+                # a word near a term is shorter than LONGEST, so a longer term has no word near it
+                own = [t.encode() for t, b in zip(self.terms, self.bound, strict=True) if b == bound and len(t) < LONGEST + b]
+                sizes = np.array([len(r) for r in own], dtype=np.int64)
+                data = np.frombuffer(b"".join(own), dtype=np.uint8)
+                letters = Letters(data, np.cumsum(sizes) - sizes, sizes)
+                found = [h.ravel() for d in range(bound + 1) for _, h in letters.shortened(np.arange(len(own)), d)]
+                self.index[bound] = Neighbours(np.concatenate([np.empty(0, dtype=np.uint64), *found]), letters.counts)
+        return self.index
+
     def screened(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Which words may be near a term: an exact necessary condition, for all words at once.
 
-        An edit changes a word's size by a letter at most (four bytes), and adds or takes a letter at most.
-        Cut into one piece more than it may have edits, a term keeps a piece whole: the first one at the
-        word's start, the last one at its end, or one between, moved by no more than the edits.
+        A word and a term that are no more than n edits apart are equal after up to n deletions from each.
         """
-        masks = letter_sets(data, starts, sizes)
+        letters = Letters(data, starts, sizes)
         may = np.zeros(len(starts), dtype=bool)
-        for k, bound in enumerate(self.bound):
-            raw, bits = self.raw[k], 4 * bound if self.wide else bound
-            near = np.flatnonzero(np.abs(sizes - len(raw)) <= bits)
-            near = near[np.bitwise_count(self.masks[k] & ~masks[near]) <= bits]
-            near = near[np.bitwise_count(masks[near] & ~self.masks[k]) <= 4 * bound]
-            term = self.terms[k]
-            cuts = [len(term[: len(term) * j // (bound + 1)].encode()) for j in range(bound + 2)]
-            whole = np.zeros(len(near), dtype=bool)
-            for j, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                piece = raw[low:high]
-                if j == 0:
-                    moves = (0,)
-                elif j == bound:
-                    moves = (None,)
-                else:
-                    moves = range(-4 * bound, 4 * bound + 1)
-                for move in moves:
-                    at = sizes[near] - len(piece) if move is None else np.full(len(near), low + move)
-                    fits = (at >= 0) & (at + len(piece) <= sizes[near])
-                    inside = (starts[near] + at)[fits, None] + np.arange(len(piece))
-                    whole[np.flatnonzero(fits)[(data[inside] == piece).all(axis=1)]] = True
-            may[near[whole]] = True
+        for bound, known in self.neighbours().items():
+            near = known.sizes[np.minimum(letters.counts, len(known.sizes) - 1)] & (letters.counts < LONGEST)
+            for deleted in range(bound + 1):
+                for which, hashes in letters.shortened(np.flatnonzero(near & ~may), deleted):
+                    may[which[known.have(hashes).any(axis=1)]] = True
         return may
 
 
-def letter_sets(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A bit set of the bytes of each word."""
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    inside = np.repeat(starts - bounds[:-1], sizes) + np.arange(bounds[-1])
-    return np.bitwise_or.reduceat(_BIT[data[inside]], bounds[:-1])
-
-
-_BIT = np.uint64(1) << (np.arange(256, dtype=np.uint64) % np.uint64(64))
+class Neighbours:
+    """A set of hashes, and which numbers of letters a word near one of its terms can have."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        self.hashes = np.unique(hashes)
+        # some bits of a hash screen out most others before the search
+        self.bits = np.uint64(64 - max(16, min(24, int(len(self.hashes)).bit_length() + 5)))
+        self.table = np.zeros(1 << (64 - int(self.bits)), dtype=bool)
+        self.table[self._slots(self.hashes)] = True
+        self.sizes = np.zeros(LONGEST + 4, dtype=bool)
+        for n in np.unique(counts).tolist():
+            self.sizes[max(0, n - allowed(n)) : n + allowed(n) + 1] = True
+        self.sizes[-1] = False
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> self.bits).astype(np.int64)
+
+    def have(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.table[self._slots(hashes)]
+        some = hashes[found]
+        if len(some):
+            at = np.minimum(np.searchsorted(self.hashes, some), len(self.hashes) - 1)
+            found[found] = self.hashes[at] == some
+        return found
+
+
+class Letters:
+    """Words' letters (first bytes tell them), for hashes of the words with some letters deleted."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        first = np.cumsum(sizes) - sizes
+        total = int(sizes.sum())
+        own = data[np.repeat(starts - first, sizes) + np.arange(total)]
+        self.sums = np.zeros(total + 1, dtype=np.uint64)
+        np.cumsum(textbatch._SEEDS[own] * textbatch._powers(total, textbatch._FACTOR), dtype=np.uint64, out=self.sums[1:])
+        self.inverse = textbatch._powers(total + 1, textbatch._INVERSE)
+        self.borders = np.append(np.flatnonzero((own & 0xC0) != 0x80), total)
+        self.at = np.searchsorted(self.borders, first)  # each word's first letter
+        self.counts = np.searchsorted(self.borders, first + sizes) - self.at
+
+    def shortened(self, which: np.ndarray, deleted: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Some of the words ``which`` and the hashes of each with any ``deleted`` (0 to 2) letters out."""
+        for n in np.unique(self.counts[which]).tolist():
+            same = which[self.counts[which] == n]
+            i, j = np.triu_indices(n, 1) if deleted == 2 else (np.arange(n), np.arange(n))
+            step = max(1, PIECE // max(1, len(i)))
+            for part in (same[k : k + step] for k in range(0, len(same), step)):
+                if n < deleted:
+                    continue
+                border = self.borders[self.at[part][:, None] + np.arange(n + 1)]
+                sums = self.sums[border]
+                back = self.inverse[border[:, :1]]
+                if deleted == 0:
+                    yield part, (sums[:, -1:] - sums[:, :1]) * back
+                    continue
+                moved = self.inverse[border[:, i + 1] - border[:, i]]
+                hashes = sums[:, i] - sums[:, :1]
+                if deleted == 2:
+                    hashes += (sums[:, j] - sums[:, i + 1]) * moved
+                    moved = moved * self.inverse[border[:, j + 1] - border[:, j]]
+                hashes += (sums[:, -1:] - sums[:, j + 1]) * moved
+                yield part, hashes * back
 
 
 def hashes_of(words: list[str]) -> np.ndarray:
@@ -312,29 +358,43 @@ class Vocabulary:
 
     def __init__(self):
         self.blocks: list[np.ndarray] = []
-        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []  # hash, toxic documents, documents, place, start, end
 
     def add(self, words: textbatch.Words, ends: np.ndarray, which: np.ndarray, toxic: np.ndarray) -> None:
         """Counts the words ``which`` up to ``ends``: once for each text."""
         starts, ends, doc = words.starts[which], ends[which], words.doc[which]
         hashes = words.span_hashes(starts, ends)
-        order = np.lexsort((hashes, doc))
+        order = np.lexsort((doc, hashes))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
         once = order[new]
-        place = np.full(len(once), len(self.blocks))
-        self.parts.append((hashes[once], toxic[words.first + doc[once]], place, starts[once], ends[once]))
+        place, one = np.full(len(once), len(self.blocks), dtype=np.int32), np.ones(len(once), dtype=np.int32)
         self.blocks.append(words.data)
+        part = hashes[once], toxic[words.first + doc[once]].astype(np.int32), one, place, starts[once], ends[once]
+        self.parts.append(self._merged([part]))
+        # what is held grows with the distinct words, not with the words
+        if sum(len(p[0]) for p in self.parts[1:]) > max(MERGE, len(self.parts[0][0])):
+            self.parts = [self._merged(self.parts)]
+
+    @staticmethod
+    def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        """One row for each hash, in order, with the place that came first."""
+        hashes, toxic, every, *place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+        if not len(first):
+            return hashes, toxic, every, *place
+        return hashes[first], np.add.reduceat(toxic[order], first), np.add.reduceat(every[order], first), *(x[order[first]] for x in place)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Toxic and other documents of each distinct word, and the row of ``parts`` that has it first."""
-        self.all = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
-        _, first, inverse = np.unique(self.all[0], return_index=True, return_inverse=True)
-        toxic = np.bincount(inverse, self.all[1], minlength=len(first)).astype(np.int64)
-        return toxic, np.bincount(inverse, minlength=len(first)) - toxic, first
+        """Toxic and other documents of each distinct word, and its row."""
+        self.parts = [self._merged(self.parts)]
+        hashes, toxic, every = self.parts[0][:3]
+        return toxic.astype(np.int64), (every - toxic).astype(np.int64), np.arange(len(hashes))
 
     def words(self, rows: np.ndarray) -> list[str]:
-        _, _, place, start, end = self.all
+        *_, place, start, end = self.parts[0]
         return [self.blocks[place[r]][start[r] : end[r]].tobytes().decode("utf-8", "replace") for r in rows.tolist()]
 
 
@@ -350,7 +410,6 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     terms: dict[str, float] = {}
     stems: dict[str, float] = {}
     families: Counter = Counter()
-    often: dict[str, int] = {}
     others: list[str] = []
     if vocabulary.parts:
         for found, counted in ((terms, vocabulary), (stems, beginnings)):
@@ -359,12 +418,9 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
             found |= sorted(zip(counted.words(first[chosen]), weights[chosen].tolist(), strict=True))
             if counted is vocabulary:
                 families.update(w[:STEM] for w in counted.words(first[a > 0]) if len(w) > STEM)
-                often = dict(zip(counted.words(first[chosen]), a[chosen].tolist(), strict=True))
                 others = sorted(counted.words(first[(b > 1) & ~chosen]))
     stems = {s: w for s, w in stems.items() if families[s] >= FAMILY}
-    # a term of a family has relatives in place of misspellings, and the stem finds them
-    alone = [t for t in terms if t[:STEM] not in stems]
-    lexicon = Lexicon(sorted(sorted(alone, key=lambda t: (-often[t], t))[:MISSPELLED]))
+    lexicon = Lexicon(sorted(terms))
     # words near a term that several other documents use are not misspellings of it, and a term with many such
     # neighbours has no misspellings that could be told apart: it is matched as it is
     # (in turns, so that a crowded term is not searched for again and again)
@@ -382,7 +438,7 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     x = np.concatenate([model.features(w) for w in textbatch.blocks(texts, textbatch.ALPHANUMERIC)])
     model.coefficients = logistic(x, toxic.astype(float))
     model.seen.clear()
-    model.clear = None
+    model.clear = model.lexicon.index = None
     return model
 
 

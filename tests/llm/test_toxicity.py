@@ -67,6 +67,18 @@ def test_lexicon_misspellings_and_context():
     assert np.array_equal(scores(m, [base] * 3), scores(m, [base]).repeat(3))
 
 
+def test_misspellings_of_rare_terms_and_of_families_are_found():
+    rnd = random.Random(4)
+    family = ["grobnakel", "grobnition", "grobnuzzer", "grobnefuls", "grobnowicht"]
+    words = family + ["".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(5)) for _ in range(90)]
+    rows = labelled(6000, seed=2, words=words)
+    m = toxicity.fit(pa.array([r[1] for r in rows]), np.array([r[2] == 1 for r in rows]))
+    assert len(m.terms) > 80 and set(m.lexicon.terms) == set(m.terms) and "grobn" in m.stems
+    missp = [(t, t[:k] + "q" + t[k + 1 :]) for t in sorted(m.terms) for k in (1, 3, len(t) - 1)]
+    found = [h for w in textbatch.blocks(pa.array([x for _, x in missp]), textbatch.ALPHANUMERIC) for h in m.hits(w)]
+    assert [k for k, weight, _ in found if weight > 0] == list(range(len(missp)))
+
+
 def test_fit_is_repeatable_and_cache_does_not_change_scores():
     a, b = model(), model()
     texts = [r[1] for r in labelled(300, seed=3)]
