@@ -20,8 +20,9 @@ from passbook.llm.columns import quoted, spare
 ROUNDS = 8
 KEY = "change-me"
 
-# Notations and ranges of the formats.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)++[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
+# Notations and ranges of the formats. An email gives labels back, since a full stop may follow it; a name has
+# 127 labels at most.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
 ISO_DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"

@@ -49,6 +49,17 @@ def test_formats_stay_valid(spark):
     assert found[6][0].endswith("@mail.example.com,") and found[7][1] == ["secret"]
 
 
+def test_email_before_a_full_stop_is_found(spark):
+    texts = [
+        "write to bob@example.com. Then", "write to bob@example.com.", "bob@mail.example.co.uk...", "bob@example.com.\nNext", "(bob@example.com.)",
+        "bob@example.com.2 is next", "bob@" + "a." * 100 + "com. End",
+    ]
+    for (text, kinds), old in zip(rewritten(spark, texts), texts):
+        name, rest = text.split("@")
+        assert kinds == ["email"] and "bob" not in name and rest == old.split("@")[1]
+    assert rewritten(spark, (none := ["bob@example.c1.", "bob@example.", "bob@" + "a." * 20_000])) == [(t, []) for t in none]
+
+
 def test_what_fails_its_check_stays(spark):
     texts = [
         "4012888888881882", "1987-02-30 31.04.2001", "300.1.1.1 1.2.3.4.5 01.2.3.4", "000-45-6789 666-45-6789", "DE00370400440532013000",
