@@ -24,9 +24,17 @@ KEY = "change-me"
 # 127 labels at most.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])"
-IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LENGTHS = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}(?![0-9A-Za-z])" for n, c in IBAN_LENGTHS.items())
+_OPEN_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
+IBAN = rf"(?<![0-9A-Za-z])(?:{_LENGTHS}|{_OPEN_IBAN})"
 ISO_DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-DAY_DATE = r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2}(?![0-9./]*[0-9])"
+DAY_DATE = r"(?<![0-9./])[0-9]{1,2}([./])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9./]*[0-9])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
@@ -41,6 +49,16 @@ KINDS = {
     "ip": IP, "ssn": SSN, "phone": PHONE, "card": CARD,
 }
 ANY = "|".join(KINDS.values())
+NOT_CARD = "|".join(v for k, v in KINDS.items() if k != "card")
+# What a card may be within a longer row of numbers that is none: its issuer's digits, and groups as printed on cards.
+_BEFORE, _AFTER = r"(?<![0-9A-Za-z+.-])", r"(?![0-9A-Za-z])"
+GROUPED = [
+    rf"{_BEFORE}(?=((?:[3-689]|2[2-7])(?:{groups}){_AFTER}))"
+    for groups in (
+        "[0-9]{12,18}", "[0-9]{2,3}(?:[ -][0-9]{4}){3}", "[0-9]{2,3}(?:[ -][0-9]{4}){3}[ -][0-9]{1,3}",
+        "[0-9]{2,3}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}", "[0-9]{2,3}[ -][0-9]{6}[ -][0-9]{4,5}", "[0-9]{2,3}(?:[ -][0-9]{3}){3}",
+    )
+]
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 days: 1900-01-01 to 2099-12-31
 
 
@@ -81,13 +99,13 @@ def only_digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def refilled(value: Column, digits: Column) -> Column:
-    """``value`` with its digits, in order, replaced by ``digits``."""
+def refilled(value: Column, digits: Column, signs: str = "[0-9]") -> Column:
+    """``value`` with its digits (or other ``signs``), in order, replaced by ``digits``."""
     filled = F.aggregate(
         F.split(value, ""),
         F.struct(F.lit("").alias("text"), F.lit(1).alias("next")),
         lambda s, c: F.when(
-            c.between("0", "9"),
+            c.rlike(signs),
             F.struct(F.concat(s["text"], F.substring(digits, s["next"], F.lit(1))).alias("text"), (s["next"] + 1).alias("next")),
         ).otherwise(F.struct(F.concat(s["text"], c).alias("text"), s["next"].alias("next"))),
     )
@@ -122,22 +140,26 @@ def _mod97(digits: Column) -> Column:
     )
 
 
-def _country(value: Column) -> Column:
-    """The two letters as numbers, A = 10."""
-    return F.concat(*((F.ascii(F.substring(value, k, 1)) - 55).cast("string") for k in (1, 2)))
+def _numbers(value: Column) -> Column:
+    """The letters as numbers, A = 10; digits stay, signs go."""
+    signs = F.filter(F.split(value, ""), lambda c: c.rlike("[0-9A-Z]"))
+    return F.array_join(F.transform(signs, lambda c: F.when(c.between("A", "Z"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
 
 
 def _is_iban(value: Column) -> Column:
-    digits = only_digits(value)
-    body, check = F.substring(digits, F.lit(3), F.length(digits)), F.substring(digits, 1, 2)
-    return F.length(digits).between(13, 32) & (_mod97(F.concat(body, _country(value), check)) == 1)
+    signs = F.translate(value, " ", "")
+    body = F.substring(signs, F.lit(5), F.length(signs))
+    whole = _numbers(F.concat(body, F.substring(signs, 1, 4)))
+    return F.length(signs).between(15, 34) & (_mod97(whole) == 1)
 
 
 def _iban(value: Column, key: str) -> Column:
-    digits = only_digits(value)
-    body = permuted_digits(F.substring(digits, F.lit(3), F.length(digits)), key, "iban")
-    check = F.lit(98) - _mod97(F.concat(body, _country(value), F.lit("00")))
-    return refilled(value, F.concat(F.lpad(check.cast("string"), 2, "0"), body))
+    signs = F.translate(value, " ", "")
+    country, old = F.substring(signs, 1, 2), F.substring(signs, F.lit(5), F.length(signs))
+    lettered = permuted_letters(old, key, "iban", {k: _ALNUM[k] for k in ("digit", "upper")})
+    body = F.when(old.rlike("[A-Z]"), lettered).otherwise(permuted_digits(old, key, "iban"))
+    check = F.lit(98) - _mod97(_numbers(F.concat(body, country, F.lit("00"))))
+    return refilled(value, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body), r"[0-9A-Z]")
 
 
 def _day(day: Column, key: str) -> Column:
@@ -147,10 +169,10 @@ def _day(day: Column, key: str) -> Column:
 
 
 def _date_of(value: Column, kind: str) -> Column:
-    """The date a value states, null if the calendar has no such day."""
+    """The date a value states, null if the calendar has no such day; the day is first if it can be."""
     if kind == "iso_date":
         return F.try_to_date(value, "yyyy-MM-dd")
-    return F.try_to_date(F.translate(value, "./", "--"), "dd-MM-yyyy")
+    return F.coalesce(*(F.try_to_date(F.translate(value, "./", "--"), form) for form in ("d-M-yyyy", "M-d-yyyy")))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -250,7 +272,14 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a checked value; the value itself if ``kind`` is null."""
     iso = F.date_format(_day(_date_of(value, "iso_date"), key), "yyyy-MM-dd")
-    day = refilled(value, F.date_format(_day(_date_of(value, "day_date"), key), "ddMMyyyy"))
+    new, mark = _day(_date_of(value, "day_date"), key), F.regexp_extract(value, "[./]", 0)
+    day_first = F.try_to_date(F.translate(value, "./", "--"), "d-M-yyyy").isNotNull()
+    # a date with a part of one digit is written without zeros
+    short = ~value.rlike("^[0-9]{2}[./][0-9]{2}[./]")
+    parts = [F.date_format(new, p) for p in ("dd", "MM", "d", "M", "yyyy")]
+    two = F.when(day_first, F.concat_ws("/", parts[0], parts[1])).otherwise(F.concat_ws("/", parts[1], parts[0]))
+    one = F.when(day_first, F.concat_ws("/", parts[2], parts[3])).otherwise(F.concat_ws("/", parts[3], parts[2]))
+    day = F.concat(F.replace(F.when(short, one).otherwise(two), F.lit("/"), mark), mark, parts[4])
     return (
         F.when(kind == "email", _email(value, key))
         .when(kind == "secret", permuted_letters(value, key, "secret", _HEX))
@@ -272,11 +301,23 @@ def pseudonymise(docs: DataFrame, text_column: str = "text", key: str = KEY) ->
     character. Repeated rows are rewritten alike; an empty table gives an empty one. If ``docs``
     has a column ``pseudonym_kinds``, the new one gets an underscore in front.
     """
-    found, kinds = spare(docs, "pseudonym_found", "pseudonym_kinds")
-    text = quoted(text_column)
-    rows = docs.withColumn(found, F.coalesce(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.array().cast("array<string>")))
+    found, kinds, cards = spare(docs, "pseudonym_found", "pseudonym_kinds", "pseudonym_cards")
+    text, none = quoted(text_column), F.array().cast("array<string>")
+    rows = docs.withColumn(found, F.coalesce(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), none))
+    # a row of numbers that is no card as a whole may hold one: then the cards are matched as they are, and the
+    # rest of the row is free for other kinds
+    failed = F.exists(found, lambda m: (F.length(only_digits(m)) >= 13) & kind_of(m).isNull())
+    inner = F.concat(*(F.filter(F.regexp_extract_all(text, F.lit(g), F.lit(1)), _is_card) for g in GROUPED))
+    whole = F.filter(found, lambda m: kind_of(m) == "card")
+    some_inner = F.when(failed, inner).otherwise(none)
+    rows = rows.withColumn(cards, some_inner)
+    # of cards that start alike the longer one is tried first
+    rows = rows.withColumn(cards, F.when(F.size(cards) > 0, F.sort_array(F.array_distinct(F.concat(cards, whole)), asc=False)))
+    pattern = F.concat(F.lit(f"{_BEFORE}(?:"), F.array_join(cards, "|"), F.lit(f"){_AFTER}|{NOT_CARD}"))
+    several = F.col(cards).isNotNull()
+    rows = rows.withColumn(found, F.when(several, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.col(found)))
     rows = rows.withColumn(found, F.transform(found, lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind"))))
-    pieces = F.split(text, ANY)
+    pieces = F.when(several, F.split(text, pattern)).otherwise(F.split(text, ANY))
     filled = F.concat(F.transform(found, lambda m: pseudonym(m["value"], m["kind"], key)), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(pieces, filled, lambda a, b: F.concat(a, b)), "")
     some = F.exists(found, lambda m: m["kind"].isNotNull())

@@ -60,6 +60,50 @@ def test_email_before_a_full_stop_is_found(spark):
     assert rewritten(spark, (none := ["bob@example.c1.", "bob@example.", "bob@" + "a." * 20_000])) == [(t, []) for t in none]
 
 
+def test_cards_beside_other_numbers(spark):
+    number, other, short = card("411111111111111"), card("37828224631000"), card("3056930902590")
+    groups = " ".join(number[k : k + 4] for k in (0, 4, 8, 12))
+    amex = f"{other[:4]} {other[4:10]} {other[10:]}"
+    texts = {
+        f"{groups} 12/27": groups, f"{number} 123": number, f"{groups} 2 times": groups, f"{groups} 12/27/1990": groups, f"12 {groups}": groups,
+        f"2024 {groups}": groups, f"{amex} 1234": amex, f"{short} 99": short, f"{number} 123-45-6789": number, f"{groups} 7 and {number}": groups,
+    }
+    for (text, kinds), (old, value) in zip(rewritten(spark, list(texts)), texts.items()):
+        whole = re.findall(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", old)[0]
+        assert "card" in kinds and value not in text and len(text) == len(old), old
+        if not luhn(re.sub("[^0-9]", "", whole)):
+            start = old.index(value)
+            assert luhn(re.sub("[^0-9]", "", text[start : start + len(value)])) and text[:start] == old[:start]
+    found = rewritten(spark, [f"{groups} 12/27/1990", f"{number} 123-45-6789"])
+    assert [k for _, k in found] == [["card", "day_date"], ["card", "ssn"]]
+    assert "12/27/1990" not in found[0][0] and "123-45-6789" not in found[1][0]
+
+
+def test_ibans_with_letters(spark):
+    ibans = [
+        "GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606", "IT60X0542811101000000123456",
+        "IE29 AIBK 9311 5212 3456 78", "BE68 5390 0754 7034", "DE89370400440532013000",
+    ]
+    found = rewritten(spark, [f"pay {x} EUR 5" for x in ibans] + ["pay GB83 WEST 1234 5698 7654 32 now"])
+    for (text, kinds), old in zip(found, ibans):
+        new = text.removeprefix("pay ").removesuffix(" EUR 5")
+        assert kinds == ["iban"] and new != old and new[:2] == old[:2]
+        assert re.sub("[A-Z]", "A", re.sub("[0-9]", "0", new)) == re.sub("[A-Z]", "A", re.sub("[0-9]", "0", old))
+        signs = new.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in signs[4:] + signs[:4])) % 97 == 1
+    assert found[-1] == ("pay GB83 WEST 1234 5698 7654 32 now", [])
+
+
+def test_dates_with_the_month_first_and_of_one_digit(spark):
+    iso, month_first, one, padded, dots = rewritten(spark, ["1990-12-25", "12/25/1990", "25/12/1990 5/3/1990", "05/03/1990", "5.3.1990."])
+    new = dt.date.fromisoformat(iso[0])
+    assert month_first == (new.strftime("%m/%d/%Y"), ["day_date"])
+    assert one[1] == ["day_date"] * 2 and one[0].split()[0] == new.strftime("%d/%m/%Y")
+    other = dt.datetime.strptime(padded[0], "%d/%m/%Y")
+    assert one[0].split()[1] == f"{other.day}/{other.month}/{other.year}" and dots[0] == f"{other.day}.{other.month}.{other.year}."
+    assert rewritten(spark, ["13/13/1990 31/4/2001 0/5/1990"]) == [("13/13/1990 31/4/2001 0/5/1990", [])]
+
+
 def test_what_fails_its_check_stays(spark):
     texts = [
         "4012888888881882", "1987-02-30 31.04.2001", "300.1.1.1 1.2.3.4.5 01.2.3.4", "000-45-6789 666-45-6789", "DE00370400440532013000",
