@@ -41,3 +41,12 @@ def lower_ascii(text: Column) -> Column:
     """``text`` with A to Z lowered and every other character as it is."""
     upper = "".join(map(chr, range(65, 91)))
     return F.translate(text, upper, upper.lower())
+
+
+def one_text(rows: DataFrame, id_column: str, text_column: str, *others: str) -> DataFrame:
+    """One row for each id, before and after the shuffle: a text, if there is one, of least hash. ``others``: values that
+    the id determines."""
+    text = F.col(text_column)
+    least = F.min(F.struct(text.isNull().alias("none"), F.xxhash64(text).alias("hash"), text.alias("text")))
+    found = rows.groupBy(id_column, *others).agg(least.alias("_least"))
+    return found.select(id_column, F.col("_least.text").alias(text_column), *others)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passbook.llm import textbatch
-from passbook.llm.columns import quoted, spare
+from passbook.llm.columns import one_text, quoted, spare
 from passbook.workspace import stored
 
 BITS = 16
@@ -145,7 +145,8 @@ def train(
     texts = docs.select(quoted(id_column).alias("_doc"), quoted(text_column).alias("_text"))
     # at most labelled_rows ids go to the scan of the texts
     sample = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_doc", "_text", "_grade")
-    sample = stored(sample, "rated")
+    # an id counts once, however many rows repeat it
+    sample = stored(one_text(sample, "_doc", "_text", "_grade"), "rated")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]

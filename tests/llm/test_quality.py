@@ -58,6 +58,16 @@ def test_training_uses_labels_and_is_repeatable(spark):
     assert not np.array_equal(first.weights, bounded.weights)
 
 
+def test_a_repeated_id_counts_once(spark):
+    rows = graded(100)
+    ratings = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, grade int")
+    once, often = (
+        quality.train(spark.createDataFrame([r[:2] for r in rows] + more, "doc_id long, text string").repartition(3), ratings)
+        for more in ([], [rows[0][:2]] * 300 + [(rows[1][0], None)])
+    )
+    assert np.array_equal(once.weights, often.weights) and np.array_equal(once.thresholds, often.thresholds)
+
+
 def test_edge_rows(spark):
     rows = graded(100)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")

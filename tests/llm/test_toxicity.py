@@ -108,6 +108,16 @@ def test_held_out_rows_are_not_learned_from(spark):
     assert flagged == {k for k in range(600) if zlib.crc32(str(k).encode()) % 4 == 2}
 
 
+def test_a_repeated_id_counts_once(spark):
+    rows = labelled(400)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    once, often = (
+        toxicity.train(spark.createDataFrame([r[:2] for r in rows] + more, "doc_id long, text string").repartition(3), labels)
+        for more in ([], [r[:2] for r in rows[:8]] * 100)
+    )
+    assert once.terms == often.terms and np.array_equal(once.coefficients, often.coefficients)
+
+
 def test_edge_rows(spark):
     rows = labelled(400)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
