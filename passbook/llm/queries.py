@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passbook.llm import decontaminate, extraction, licences, mixing, pseudonyms, quality, rules, sequences, simhash, toxicity
+from passbook.llm import (
+    decontaminate,
+    extraction,
+    hardnegatives,
+    licences,
+    mixing,
+    prefixtrie,
+    pseudonyms,
+    quality,
+    repeats,
+    rules,
+    sequences,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -160,3 +174,94 @@ counted AS (
 SELECT doc_id, license, max(shared) AS n_shared, total AS n_shingles, CAST(max(shared) AS DOUBLE) / total AS containment
 FROM counted WHERE shared * 5 >= total * 4 GROUP BY doc_id, license, total
 """
+
+
+@query
+def op11_repeats(spark, sf_dir):
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_repeats"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i AS pos, md5(array_to_string(w[i:i + 49], ' ')) AS key FROM docs, unnest(range(1, len(w) - 48)) AS r(i)),
+firsts AS (SELECT key, min(doc_id) AS first_id FROM windows GROUP BY key),
+repeated AS (SELECT w.doc_id, w.pos FROM windows w JOIN firsts f USING (key) WHERE f.first_id < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, p FROM repeated, unnest(range(pos, pos + 50)) AS r(p)),
+words AS (SELECT doc_id, p, w[p] AS word FROM docs, unnest(range(1, len(w) + 1)) AS r(p)),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op12_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+           lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
+own AS (
+  SELECT conv_id, list(struct_pack(d := d, n := n) ORDER BY turn NULLS FIRST, d) AS turns
+  FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || coalesce(text, '')) AS d, length(coalesce(text, '')) AS n
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+taken AS (
+  SELECT conv_id, turns,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                         lambda a, x: xor(a >> 8, tab[xor(a & 255, x) + 1])), 4294967295) % 6 AS h
+  FROM own, crc),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, len(turns) AS size, depth, turns[depth].n AS n,
+         md5(array_to_string(list_transform(turns[1:depth], lambda t: t.d), ',')) AS key,
+         CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(turns[1:depth - 1], lambda t: t.d), ',')) END AS parent
+  FROM built, unnest(range(0, len(turns) + 1)) AS r(depth)),
+nodes AS (
+  SELECT depth, key, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(n), 0) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, key),
+children AS (SELECT parent AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (key, depth)),
+sums AS (
+  SELECT p.key, p.depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.n) AS saved_tokens
+  FROM counted n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.key, p.depth)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(c.n_convs AS BIGINT) AS n_convs,
+       CAST(c.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s USING (key, depth) LEFT JOIN nodes p ON p.key = c.parent AND p.depth = c.depth - 1
+"""
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    return hardnegatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_hard_negatives"] = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+hits AS (
+  SELECT p.anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hits WHERE rank <= 10
+"""
