@@ -512,7 +512,16 @@ landed AS (
          CASE WHEN op <> 'c' THEN status END AS before_status
   FROM messages WHERE outcome = 'good')"""
 
-add("envelope_flatten", [MESSAGES], "SELECT * FROM landed")
+for same in ("envelope_flatten", "connect_flatten", "registry_flatten"):
+    add(same, [MESSAGES], "SELECT * FROM landed")
+add(
+    "connect_customers",
+    [CUSTOMER_IMAGES],
+    f"""SELECT customer_id, {token('date_of_birth')} AS date_of_birth, {token('email')} AS email,
+       CASE WHEN o_orderkey % 40 = 0 THEN 'd' ELSE 'u' END AS _cdc_op,
+       epoch_us(o_orderdate) // 1000 AS _cdc_ts_ms, o_orderkey AS _kafka_offset
+FROM customer_images""",
+)
 add(
     "envelope_dead_letter",
     [MESSAGES],
@@ -562,6 +571,7 @@ add(
     f"""SELECT {HOUR_PARTS}, count(*) AS n_rows, CAST(sum(balance) AS DECIMAL(28,2)) AS balance
 FROM account_log GROUP BY ALL""",
 )
+add("landing_manifest", [ACCOUNT_LOG], f"SELECT {HOUR_PARTS}, count(*) AS n_rows FROM account_log GROUP BY ALL")
 add(
     "landing_pruned",
     [ACCOUNT_LOG],

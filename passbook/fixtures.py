@@ -175,22 +175,36 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bytes_text(amount: Column) -> Column:
+    """Base64 of the unscaled number of an amount of scale 2, as a connector with precise decimals sends it."""
+    unscaled = (amount * 100).cast("bigint")
+    digits = F.hex(unscaled)
+    even = F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
+    signed = F.when((unscaled >= 0) & (F.substring(even, 1, 1) >= "8"), F.concat(F.lit("00"), even)).otherwise(even)
+    return F.base64(F.unhex(signed))
+
+
+def account_messages(spark: SparkSession, sf_dir: str, encoding: str = "plain") -> DataFrame:
     """Raw messages of the account topic as JSON text.
 
     Deletes carry only a before image, updates both, inserts only an after image. Every tenth
-    message has no source time; some values are null, some are cut off.
+    message has no source time; some values are null, some are cut off. With ``encoding`` "connect" every message
+    whose number is not divisible by three has its decimals as bytes, half of them below ``payload`` with a schema
+    beside it. With "registry" each has a header: id 7 before half of all messages, then id 9.
     """
     images = account_images(table(spark, sf_dir, "events"))
     names = [c for c in images.columns if c not in ("event_id", "user_id", "ts")]
     number = F.col("event_id")
-    image = F.struct(*[F.col(n) for n in names])
-    earlier = F.struct(
-        *[
-            (F.col(n) + 1 if n == "balance" else F.col(n)).cast(images.schema[n].dataType).alias(n)
-            for n in names
-        ]
-    )
+    encoded = number % 3 != 0 if encoding == "connect" else F.lit(False)
+
+    def sent(name: str, shift: int) -> Column:
+        value = (F.col(name) + shift if name == "balance" else F.col(name)).cast(images.schema[name].dataType)
+        if encoding != "connect" or name != "balance":
+            return value.alias(name)
+        return F.when(encoded, _bytes_text(value)).otherwise(value.cast("string")).alias(name)
+
+    image = F.struct(*[sent(n, 0) for n in names])
+    earlier = F.struct(*[sent(n, 1) for n in names])
     op = F.when(number % 50 == 0, "d").when(number % 3 == 0, "c").otherwise("u")
     at = millis(F.col("ts"))
     envelope = F.struct(
@@ -200,14 +214,48 @@ def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(number % 10 == 0, 0).otherwise(at).alias("ts_ms")).alias("source"),
         (at + 5).alias("ts_ms"),
     )
-    text = F.to_json(envelope)
+    bare = F.to_json(envelope)
+    text = bare
+    if encoding == "connect":
+        wrapped = F.to_json(F.struct(F.struct(F.lit("struct").alias("type")).alias("schema"), envelope.alias("payload")))
+        text = F.when(encoded & (number % 2 == 0), wrapped).otherwise(bare)
+    value = F.when(number % 31 == 1, F.lit(None)).when(number % 37 == 1, F.substring(bare, 1, 40)).otherwise(text)
+    if encoding == "registry":
+        header = F.when(F.col("user_id") % 2 == 0, F.lit("0000000007")).otherwise(F.lit("0000000009"))
+        value = F.concat(F.unhex(header), value.cast("binary"))
     return images.select(
         F.lit(f"{TOPIC_PREFIX}.accounts").alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         number.alias("offset"),
-        F.when(number % 31 == 1, F.lit(None))
-        .when(number % 37 == 1, F.substring(text, 1, 40))
-        .otherwise(text)
-        .alias("value"),
+        value.alias("value"),
+        F.timestamp_millis(at + 7).alias("timestamp"),
+    )
+
+
+def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages of the customer topic: dates of birth as days since 1970, every fourth one as ISO text."""
+    images = customer_images(spark, sf_dir)
+    number = F.col("o_orderkey")
+    birth = F.col("date_of_birth")
+    days = F.unix_date(birth).cast("string")
+    names = [c for c in images.columns if not c.startswith("o_")]
+    sent = F.when(number % 4 == 0, birth.cast("string")).otherwise(days).alias("date_of_birth")
+    image = F.struct(*[sent if n == "date_of_birth" else F.col(n) for n in names])
+    at = millis(F.col("o_orderdate"))
+    delete = number % 40 == 0
+    envelope = F.struct(
+        F.when(delete, image).alias("before"),
+        F.when(~delete, image).alias("after"),
+        F.when(delete, "d").otherwise("u").alias("op"),
+        F.struct(at.alias("ts_ms")).alias("source"),
+        at.alias("ts_ms"),
+    )
+    # a number is not quoted
+    text = F.regexp_replace(F.to_json(F.struct(envelope.alias("payload"))), r'"date_of_birth":"(-?[0-9]+)"', '"date_of_birth":$1')
+    return images.select(
+        F.lit(f"{TOPIC_PREFIX}.customers").alias("topic"),
+        (F.col("o_custkey") % 3).cast("int").alias("partition"),
+        number.alias("offset"),
+        text.alias("value"),
         F.timestamp_millis(at + 7).alias("timestamp"),
     )

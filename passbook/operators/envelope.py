@@ -30,7 +30,7 @@ def of_table(messages: DataFrame, table: str) -> DataFrame:
     return messages.filter(last_segment(F.col("topic")) == table)
 
 
-def _parsed_once(messages: DataFrame, parsed: Column, table: str, unreadable) -> DataFrame:
+def parsed_once(messages: DataFrame, parsed: Column, table: str, unreadable) -> DataFrame:
     """Add ``envelope`` and ``undecodable`` from a parse expression.
 
     The parse runs below an ``explode`` of one element: the optimizer copies a plain column's
@@ -63,22 +63,20 @@ def decode_json(messages: DataFrame, table: str) -> DataFrame:
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNPARSED}
     parsed = F.from_json(F.col("value").cast("string"), schema, options)
-    return _parsed_once(
+    return parsed_once(
         messages, parsed, table, lambda e: e.isNull() | e[UNPARSED].isNotNull()
     )
 
 
-def decode_avro(messages: DataFrame, table: str, avro_schema: str) -> DataFrame:
-    """Add ``envelope`` and ``undecodable`` to messages in registry wire format.
-
-    The first five bytes (marker and schema id) are not part of the Avro body. Needs Spark's
-    ``spark-avro`` module on the class path. Bind ``avro_schema`` to pass this as ``decode``.
-    """
-    from pyspark.sql.avro.functions import from_avro
-
-    body = F.expr("substring(value, 6, length(value) - 5)")
-    parsed = from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
-    return _parsed_once(messages, parsed, table, lambda e: e.isNull() | e["op"].isNull())
+def _letter_columns(salt: str) -> list[Column]:
+    value = F.col("value").cast("string")
+    return [
+        "topic",
+        "partition",
+        "offset",
+        F.length(value).cast("bigint").alias("value_length"),
+        text_token(value, salt).alias("value_token"),
+    ]
 
 
 def dead_letters(decoded: DataFrame, salt: str) -> DataFrame:
@@ -87,14 +85,7 @@ def dead_letters(decoded: DataFrame, salt: str) -> DataFrame:
     What cannot be decoded cannot be tokenised column by column either, so the value itself, personal
     data included, stays in the topic; position and token find and compare it there.
     """
-    value = F.col("value").cast("string")
-    return decoded.filter("undecodable").select(
-        "topic",
-        "partition",
-        "offset",
-        F.length(value).cast("bigint").alias("value_length"),
-        text_token(value, salt).alias("value_token"),
-    )
+    return decoded.filter("undecodable").select(*_letter_columns(salt))
 
 
 def decoded_only(decoded: DataFrame) -> DataFrame:
@@ -143,8 +134,8 @@ def event_millis() -> Column:
     )
 
 
-def flatten(decoded: DataFrame, table: str) -> DataFrame:
-    """One landing row per envelope: the after image (before image for deletes) and lineage."""
+def flatten(decoded: DataFrame, table: str, *more: Column) -> DataFrame:
+    """One landing row per envelope: the after image (before image for deletes), lineage, and ``more`` columns."""
     names = SOURCE_TABLES[table].fieldNames()
     columns = [
         F.when(F.col("envelope.after").isNotNull(), F.col(f"envelope.after.{n}"))
@@ -167,6 +158,7 @@ def flatten(decoded: DataFrame, table: str) -> DataFrame:
         F.col("offset").cast("bigint").alias("_kafka_offset"),
         # when the broker took the message: files a row without event time, the same way on a replay
         *([F.unix_millis("timestamp").alias(ARRIVED)] if "timestamp" in decoded.columns else []),
+        *more,
     )
 
 
@@ -205,3 +197,16 @@ def landing_rows(decoded: DataFrame, table: str, salt: str, keys: DataFrame | No
     if keys is not None and PERSONAL_COLUMNS.get(table):
         rows, secret = with_subject_key(rows, keys), F.col("_secret")
     return with_partitions(flatten(hide_personal_data(rows, table, secret), table))
+
+
+def outcomes(decoded: DataFrame, table: str, salt: str, keys: DataFrame | None = None) -> DataFrame:
+    """Every decoded message as a landing row, with its dead letter in ``letter`` if it could not be decoded.
+
+    Nothing in it is clear personal data, so it may be written down for the two sinks that read it.
+    """
+    clean = decoded.withColumn("envelope", F.when(~F.col("undecodable"), F.col("envelope")))
+    secret: str | Column = salt
+    if keys is not None and PERSONAL_COLUMNS.get(table):
+        clean, secret = with_subject_key(clean, keys), F.col("_secret")
+    letter = F.when(F.col("undecodable"), F.struct(*_letter_columns(salt))).alias("letter")
+    return with_partitions(flatten(hide_personal_data(clean, table, secret), table, letter))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passbook.contracts import RETENTION_DAYS
 from passbook.functions.scalars import millis_to_utc, text_token
-from passbook.sources.landing import day_folders, partition_files
+from passbook.sources.landing import close_hours, drop_hours, live_hours, vacuum
 
 DAY_MILLIS = 24 * 60 * 60 * 1000
 
@@ -49,42 +47,35 @@ def retention_report(
 
 
 def _folder_day() -> Column:
-    return F.to_date(F.concat_ws("-", "year", "month", "day"))
+    return F.to_date(F.concat("year", F.lit("-"), "month", F.lit("-"), "day"))
 
 
 def expired_folders(
     spark: SparkSession, base: str, table: str, as_of: str, days: int | None = None
 ) -> DataFrame:
-    """Day folders of a landing table that the policy expires, with their file count and bytes.
+    """Days of a landing table that the policy expires, with their closed hours and rows.
 
-    Works on the file listing alone; no data is read.
+    Works on the manifest alone; no file is listed or read. Open batches count once they are closed.
     """
     keep = RETENTION_DAYS[table] if days is None else days
-    files = partition_files(spark, base, table).withColumn("folder_day", _folder_day())
-    return (
-        files.filter(F.col("folder_day") < oldest_kept(as_of, keep))
-        .groupBy("year", "month", "day")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    )
+    hours = live_hours(spark, base, table).filter(_folder_day() < oldest_kept(as_of, keep))
+    return hours.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("hours"), F.sum("rows").alias("rows"))
 
 
 def expire(
-    spark: SparkSession, base: str, table: str, as_of: str, days: int | None = None
+    spark: SparkSession, base: str, table: str, as_of: str, days: int | None = None, grace_ms: int = 0
 ) -> int:
-    """Remove expired day folders; returns how many. Folders already gone are no error.
+    """Expire days that are older than the policy allows; returns how many.
 
-    Works on folder names, one per day, however many files the days hold.
+    One change of the manifest hides all of them at once; then tasks delete their folders, and with them
+    whatever else was replaced ``grace_ms`` ago or longer. A job that died in between is finished by the next one.
     """
     keep = RETENTION_DAYS[table] if days is None else days
-    oldest = (date.fromisoformat(as_of) - timedelta(days=keep)).isoformat()
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for day, folder in day_folders(spark, base, table):
-        if day < oldest:
-            path = hadoop.Path(folder)
-            removed += path.getFileSystem(conf).delete(path, True)
-    return removed
+    close_hours(spark, base, table)
+    gone = drop_hours(spark, base, table, _folder_day() < oldest_kept(as_of, keep))
+    expired = gone.select("year", "month", "day").distinct().count()
+    vacuum(spark, base, table, grace_ms)
+    return expired
 
 
 def keyed_tokens(

@@ -38,8 +38,7 @@ MODEL_TESTS: dict[str, list[Expectation]] = {
         ),
     ],
     "stg_accounts": [
-        *not_null("account_id", "customer_id", "account_number_token", "balance", "status"),
-        *not_null("_cdc_ts_ms"),
+        *not_null("account_id", "customer_id", "account_number_token", "balance", "status", "_cdc_ts_ms"),
         *accepted_values("status", ACCOUNT_STATUSES),
     ],
     "stg_transactions": [
@@ -55,8 +54,16 @@ MODEL_TESTS: dict[str, list[Expectation]] = {
     ],
     "dim_accounts": [
         *unique("account_sk"),
-        *not_null("account_sk", "account_id", "customer_id", "balance", "status"),
-        *not_null("valid_from", "is_current", "version_number"),
+        *not_null(
+            "account_sk",
+            "account_id",
+            "customer_id",
+            "balance",
+            "status",
+            "valid_from",
+            "is_current",
+            "version_number",
+        ),
         *accepted_values("status", ACCOUNT_STATUSES),
         *accepted_values("is_current", [True, False]),
     ],
@@ -77,8 +84,17 @@ MODEL_TESTS: dict[str, list[Expectation]] = {
     ),
     "mart_suspicious_transactions": [
         *unique("flag_sk"),
-        *not_null("flag_sk", "transaction_id", "rule_code", "rule_score", "rule_description"),
-        *not_null("from_account_id", "amount", "created_at", "flagged_at"),
+        *not_null(
+            "flag_sk",
+            "transaction_id",
+            "rule_code",
+            "rule_score",
+            "rule_description",
+            "from_account_id",
+            "amount",
+            "created_at",
+            "flagged_at",
+        ),
         *accepted_values("rule_code", RULE_CODES),
     ],
 }

@@ -11,30 +11,42 @@ from pyspark.sql.streaming import StreamingQuery
 
 from passbook.contracts import SOURCE_TABLES
 from passbook.operators.envelope import (
-    dead_letters,
     decode_json,
     drop_tombstones,
-    landing_rows,
     of_table,
+    outcomes,
 )
 from passbook.sources.landing import BATCH, table_path, write_rows
+from passbook.workspace import scratch
 
 DEAD_LETTERS = "_dead_letters"
 
 
 def ingest_batch(
-    messages: DataFrame, table: str, base: str, salt: str, decode=decode_json, keys: DataFrame | None = None
+    messages: DataFrame,
+    table: str,
+    base: str,
+    salt: str,
+    decode=decode_json,
+    keys: DataFrame | None = None,
+    batch: str | None = None,
 ) -> None:
-    """One-off load: append the rows of one table, and its dead letters, to the landing zone."""
-    decoded = decode(drop_tombstones(of_table(messages, table)), table)
-    write_rows(landing_rows(decoded, table, salt, keys), base, table)
-    write_dead_letters(decoded, base, table, uuid.uuid4().hex, salt)
+    """Add the rows of one table, and its dead letters, to the landing zone as one batch.
+
+    Messages are read and decoded once, into a table of tokenised rows from which both sinks are
+    written. Dead letters come first: when the rows are published, the batch is complete. A named ``batch``
+    may be repeated (see ``landing.write_rows``).
+    """
+    batch = batch or uuid.uuid4().hex
+    found = outcomes(decode(drop_tombstones(of_table(messages, table)), table), table, salt, keys)
+    with scratch(found, "ingest") as rows:
+        write_dead_letters(rows.filter("letter is not null").select("letter.*"), base, table, batch)
+        write_rows(rows.filter("letter is null").drop("letter"), base, table, batch)
 
 
-def write_dead_letters(decoded: DataFrame, base: str, table: str, batch: str, salt: str) -> None:
+def write_dead_letters(letters: DataFrame, base: str, table: str, batch: str) -> None:
     (
-        dead_letters(decoded, salt)
-        .withColumn(BATCH, F.lit(batch))
+        letters.withColumn(BATCH, F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH)
@@ -55,20 +67,15 @@ def start_ingest(
 ) -> StreamingQuery:
     """Stream messages of one table into the landing zone.
 
-    Offsets are committed after a batch is written. A batch that is replayed after a failure
-    overwrites exactly its own folders (``batch=<stream_id>-<batch number>`` below each hour), so a
-    replay adds nothing. Give each checkpoint its own ``stream_id``. No row is dropped as late.
+    Offsets are committed after a batch is published. A batch that is replayed after a failure is
+    ``<stream_id>-<batch number>`` again: it is written anew if it had not been published and left alone if it
+    had. Give each checkpoint its own ``stream_id``. No row is dropped as late.
     Batches follow one another as the source offers them (see ``kafka_options``); ``available_now``
     takes everything present and stops. ``keys`` holds tokens' keys per person (see ``landing_rows``).
+    Run ``landing.close_hours`` from time to time, hourly for instance.
     """
     def write(messages_of_batch: DataFrame, number: int) -> None:
-        batch = f"{stream_id}-{number}"
-        decoded = decode(drop_tombstones(of_table(messages_of_batch, table)), table).persist()
-        try:
-            write_rows(landing_rows(decoded, table, salt, keys), base, table, batch)
-            write_dead_letters(decoded, base, table, batch, salt)
-        finally:
-            decoded.unpersist()
+        ingest_batch(messages_of_batch, table, base, salt, decode, keys, f"{stream_id}-{number}")
 
     writer = (
         messages.writeStream.queryName(f"ingest-{table}-{stream_id}")

@@ -38,6 +38,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return _MADE[-1]
 
 
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Owner of the intermediate tables made inside: they are removed at the end.
@@ -50,10 +55,19 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         paths = _MADE[first:]
         del _MADE[first:]
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for name in paths:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+            _remove(spark, name)
+
+
+@contextmanager
+def scratch(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder, for as long as the block runs."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(df.sparkSession, path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from passbook import fixtures as fx
 from passbook.contracts import landing_schema
 from passbook.functions import scalars as sc
-from passbook.operators import activity, envelope, governance, history, messages, quality, rules
+from passbook.operators import activity, connect, envelope, governance, history, messages, quality, rules
 from passbook.operators.skew import SkewPolicy
 from passbook.plans import anomaly, build, expectations, marts, reports, staging
 from passbook.sources import calendar, landing
@@ -331,9 +331,9 @@ def _decoded(topic):
     return envelope.decode_json(envelope.drop_tombstones(raw), "accounts")
 
 
-@query
-def envelope_flatten(spark, sf):
-    rows = envelope.landing_rows(_decoded(_topic(spark, sf)), "accounts", fx.SALT)
+def _flattened(decoded):
+    """Landing rows with some of the before image's values read back from its text."""
+    rows = envelope.landing_rows(decoded, "accounts", fx.SALT)
     before = F.from_json("_cdc_before", "account_number string, balance string, status string")
     return rows.withColumn("_b", before).select(
         *[c for c in rows.columns if c != "_cdc_before"],
@@ -343,6 +343,45 @@ def envelope_flatten(spark, sf):
     )
 
 
+@query
+def envelope_flatten(spark, sf):
+    return _flattened(_decoded(_topic(spark, sf)))
+
+
+@query
+def connect_flatten(spark, sf):
+    """The same rows from messages of which two thirds have connector-encoded decimals, some below ``payload``."""
+    raw = stored(fx.account_messages(spark, sf, "connect"), "topic")
+    return _flattened(connect.decode_connect_json(envelope.drop_tombstones(raw), "accounts"))
+
+
+# Two versions of a writer's schema: the later one sends balances as text and has a field more, in another order.
+WRITERS = {
+    7: "before STRUCT<{0}, balance: DECIMAL(18,2)>, after STRUCT<{0}, balance: DECIMAL(18,2)>, op STRING, source STRUCT<ts_ms: BIGINT>, ts_ms BIGINT",
+    9: "ts_ms BIGINT, op STRING, source STRUCT<ts_ms: BIGINT>, after STRUCT<branch: STRING, balance: STRING, {0}>, before STRUCT<balance: STRING, {0}>",
+}
+_TEXTS = "account_id account_number account_type currency status created_at updated_at customer_id"
+WRITERS = {k: v.format(", ".join(f"{c}: STRING" for c in _TEXTS.split())) for k, v in WRITERS.items()}
+
+
+@query
+def registry_flatten(spark, sf):
+    """The same rows from messages in registry wire format, each read by the schema its header names."""
+    raw = stored(fx.account_messages(spark, sf, "registry"), "topic")
+    decoded = connect.decode_registry(
+        envelope.drop_tombstones(raw), "accounts", WRITERS, lambda body, ddl: F.from_json(body.cast("string"), ddl)
+    )
+    return _flattened(decoded)
+
+
+@query
+def connect_customers(spark, sf):
+    """Customers with dates of birth as days since 1970: tokens are those of the dates."""
+    raw = stored(fx.customer_messages(spark, sf), "topic")
+    rows = envelope.landing_rows(connect.decode_connect_json(raw, "customers"), "customers", fx.SALT)
+    return rows.select("customer_id", "date_of_birth", "email", "_cdc_op", "_cdc_ts_ms", "_kafka_offset")
+
+
 @query
 def envelope_dead_letter(spark, sf):
     """Outcome of every message, counted by partition."""
@@ -371,13 +410,20 @@ def envelope_to_scd2(spark, sf):
     return marts.dim_accounts(staging.account_events(stored(rows, "landing_accounts")))
 
 
-@query
-def landing_partitions(spark, sf):
-    """Write the account log to a landing zone, read it back, count rows per hour folder."""
+def _landed(spark, sf, closed: bool = True) -> str:
+    """The account log in a landing zone of its own, as one batch, its hours closed."""
     base = fresh_path(spark, "landing")
     landing.write_rows(envelope.with_partitions(fx.account_log(spark, sf)), base, "accounts")
+    if closed:
+        landing.close_hours(spark, base, "accounts")
+    return base
+
+
+@query
+def landing_partitions(spark, sf):
+    """Write the account log to a landing zone, close its hours, read it back, count rows per hour folder."""
     return (
-        landing.scan(spark, base, "accounts")
+        landing.scan(spark, _landed(spark, sf), "accounts")
         .groupBy("year", "month", "day", "hour")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("balance").cast("decimal(28,2)").alias("balance"))
     )
@@ -386,12 +432,22 @@ def landing_partitions(spark, sf):
 @query
 def landing_pruned(spark, sf):
     """The same landing zone, read for ten days only: other folders are not opened."""
-    base = fresh_path(spark, "landing")
-    landing.write_rows(envelope.with_partitions(fx.account_log(spark, sf)), base, "accounts")
-    rows = landing.scan(spark, base, "accounts", since="2024-01-05", until="2024-01-14")
+    rows = landing.scan(spark, _landed(spark, sf), "accounts", since="2024-01-05", until="2024-01-14")
     return rows.select("account_id", "balance", "_kafka_offset", "day", "hour")
 
 
+@query
+def landing_manifest(spark, sf):
+    """Rows of each closed hour as the manifest states them, after late rows have been closed into their hours."""
+    base = fresh_path(spark, "landing")
+    rows = envelope.with_partitions(fx.account_log(spark, sf))
+    late = F.col("_kafka_offset") % 5 == 0
+    for part in (rows.filter(~late), rows.filter(late)):
+        landing.write_rows(part, base, "accounts")
+        landing.close_hours(spark, base, "accounts")
+    return landing.live_hours(spark, base, "accounts").select("year", "month", "day", "hour", F.col("rows").alias("n_rows"))
+
+
 @query
 def schema_reconcile(spark, sf):
     """Files that disagree: other decimal scale, missing column, column without values."""
@@ -553,9 +609,8 @@ def erasure_build(spark, sf):
 
 @query
 def retention_expire(spark, sf):
-    """Day folders older than seven years are gone from the landing zone."""
-    base = fresh_path(spark, "landing")
-    landing.write_rows(envelope.with_partitions(fx.account_log(spark, sf)), base, "accounts")
+    """Days older than seven years are gone from the landing zone."""
+    base = _landed(spark, sf, closed=False)
     governance.expire(spark, base, "accounts", AS_OF)
     rows = landing.scan(spark, base, "accounts")
     return rows.select("account_id", "_cdc_ts_ms", "_kafka_offset", "year", "month", "day")

@@ -217,27 +217,6 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
     assert [(r.day, r.hour) for r in hours] == [("10", "07"), ("10", "02")]
 
 
-def test_scan_prunes_folders(spark):
-    base = fresh_path(spark, "t")
-    ingest_batch(account_messages(spark), "accounts", base, SALT)
-    rows = landing.scan(spark, base, "accounts", since="2023-11-15", until="2023-11-15")
-    assert {r.day for r in rows.collect()} == {"15"}
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-
-
-def test_compaction_keeps_rows(spark):
-    base = fresh_path(spark, "t")
-    for _ in range(3):
-        ingest_batch(account_messages(spark, 6), "accounts", base, SALT)
-    for _ in range(2):  # doing it again changes nothing
-        landing.compact(spark, base, "accounts", f"{base}-compact")
-    before, after = (landing.scan(spark, b, "accounts") for b in (base, f"{base}-compact"))
-    assert plain(before) == plain(after)
-    files = [landing.partition_files(spark, b, "accounts").count() for b in (base, f"{base}-compact")]
-    assert files == [18, 6]
-
-
 def test_tokens_under_a_key_per_person(spark):
     values = [envelope(customer(customer_id=f"c{k}")) for k in (1, 2)] + [envelope(None, customer(customer_id="c1"), "d")]
     keys = spark.createDataFrame([("c1", "k1"), ("c9", "k9")], "customer_id string, token_key string")

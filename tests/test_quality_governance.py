@@ -1,6 +1,7 @@
 """Data tests, gate, full rebuild, retention, keyed tokens, calendar, scalars."""
 
 import hashlib
+import os
 from datetime import date, datetime
 
 import pytest
@@ -104,7 +105,8 @@ def test_rebuild_passes_all_tests(spark, landed):
 
 
 def test_rebuild_fails_on_bad_data(spark, landed):
-    bad = landing.scan(spark, landed, "accounts").limit(5).withColumn("status", F.lit("LOST"))
+    good = landing.scan(spark, landed, "accounts").filter("_cdc_op <> 'd'").dropDuplicates(["_kafka_offset"])
+    bad = good.orderBy("_kafka_offset").limit(5).withColumn("status", F.lit("LOST"))
     bad = bad.withColumn("_kafka_offset", F.col("_kafka_offset") + 10**6)
     sources = {t: landing.scan(spark, landed, t) for t in ("customers", "transactions")}
     sources["accounts"] = landing.scan(spark, landed, "accounts").unionByName(bad)
@@ -153,15 +155,22 @@ def test_retention_keeps_the_limit_day(spark):
     assert (report.rows_kept, report.rows_expired, report.oldest_day) == (1, 1, date(2023, 12, 31))
 
 
+def _has_files(base, day):
+    return any(f.endswith(".parquet") for path, _, files in os.walk(base) if f"/{day}" in path for f in files)
+
+
 def test_expire_removes_whole_days_once(spark, landed):
     base = fresh_path(spark, "expire")
     landing.write_rows(landing.scan(spark, landed, "accounts"), base, "accounts")
+    landing.close_hours(spark, base, "accounts")
     folders = governance.expired_folders(spark, base, "accounts", "2024-01-20", days=5)
     assert {r.day for r in folders.collect()} == {f"{d:02d}" for d in range(1, 15)}
     assert governance.expire(spark, base, "accounts", "2024-01-20", days=5) == 14
     assert governance.expire(spark, base, "accounts", "2024-01-20", days=5) == 0
     left = landing.scan(spark, base, "accounts").agg(F.min("day")).first()[0]
     assert left == "15"
+    days = [name for _, folders, _ in os.walk(base) for name in folders if name.startswith("day=")]
+    assert {name for name in days if _has_files(base, name)} == {name for name in days if name >= "day=15"}
 
 
 def test_policy_table(spark):
