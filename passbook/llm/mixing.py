@@ -14,6 +14,7 @@ of bounded size, then over bucket totals), so a source with most of the rows is
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,45 +128,78 @@ def queue(
     )
 
 
-def _served(start: Column, size: Column, target: Column) -> Column:
-    """Words of a row that starts ``start`` words into its queue, served by virtual time 1."""
-    return F.greatest(F.lit(0), F.least(size, F.floor(target).cast("long") - start))
+def virtual_time(words: Column, target: Column) -> Column:
+    """When a source has served so many words; 1 is the time at which every source reaches its target."""
+    return words / F.when(target > 0, target).otherwise(F.lit(1.0))
 
 
-def taken_words(queues: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
+def finish_time(start: Column, size: Column, target: Column) -> Column:
+    """Virtual finish time of a row that starts ``start`` words into its queue."""
+    return virtual_time(start + size, target)
+
+
+def _ranges(queues: DataFrame, rows: int) -> DataFrame:
+    """The groups with one row per copy (``_copy`` from 0); a group of many copies is dealt to several tasks."""
+    few = queues.filter(F.col("copies") <= rows).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    )
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(rows).cast("long"))).alias("_range")
+    many = queues.filter(F.col("copies") > rows).select("*", start).repartition("key", "_range")
+    last = F.least(F.col("_range") + rows, F.col("copies")) - 1
+    return few.unionByName(many.withColumn("_copy", F.explode(F.sequence("_range", last))).drop("_range"))
+
+
+def taken_words(queues: DataFrame, passes: int = MAX_PASSES, range_rows: int = BUCKET_ROWS) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row, copies apart.
 
-    The document at a source's cut gives as many words as its target still lacks.
+    A row whose virtual finish time in a pass is at most 1 is served whole. The one that is being served
+    at virtual time 1, where the sorted queue reaches the budget, gives as many words as its target still lacks.
     """
-    each = queues.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    start = F.col("before") + F.col("_copy") * F.col("size")
-    taken = sum(
-        (_served(start + F.col("source_size") * k, F.col("size"), F.col("target")) for k in range(1, passes)),
-        _served(start, F.col("size"), F.col("target")),
-    )
-    return each.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    size, target = F.col("size"), F.col("target")
+
+    def in_pass(number: int) -> Column:
+        start = F.col("before") + F.col("_copy") * size + F.col("source_size") * number
+        partly = F.greatest(F.lit(0).cast("long"), F.floor(target).cast("long") - start)
+        served = F.when(finish_time(start, size, target) <= 1, size).when(virtual_time(start, target) < 1, F.least(size, partly))
+        return served.otherwise(0)
+
+    taken = sum((in_pass(k) for k in range(1, passes)), in_pass(0))
+    taken = F.when(target > 0, taken).otherwise(0)
+    return _ranges(queues, range_rows).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def served_times(queues: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
-    """``doc_id, key, copies, finishes``: the virtual finish times of the whole documents in the mix.
+def _finishes(own: dict[str, str], turn: Column, passes: int) -> Column:
+    """Finish times of the passes in which row ``turn`` (from 0) of a group is in the mix, as a whole.
 
-    A document is in a pass if at least half of its words are within the target; blank documents
-    (no word) are in the first pass. Of n identical rows the first ones in the queue are served more
-    often, so ``finishes`` lists the times of the whole group.
+    It is in a pass if at least half of its words are served by virtual time 1; blank rows (no word)
+    are in the first pass. ``own``: how the columns of ``queue`` are called here.
     """
-    def times(number: int) -> Column:
-        first = F.col("before") + F.col("source_size") * number
-        size, target = F.col("size"), F.col("target")
-        fits = F.when(size == 0, F.col("copies") if number == 0 else F.lit(0)).otherwise(
-            F.floor((target - first) / size + 0.5)
-        )
-        count = F.greatest(F.lit(0), F.least(F.col("copies"), fits)).cast("long")
-        ranks = F.when(count > 0, F.sequence(F.lit(1).cast("long"), count)).otherwise(F.array().cast("array<bigint>"))
-        scale = F.when(target > 0, target).otherwise(F.lit(1.0))
-        return F.transform(ranks, lambda k: (first + size * k) / scale)
+    size, target = F.col(own["size"]), F.col(own["target"])
 
-    finishes = F.concat(*(times(k) for k in range(passes)))
-    return queues.select("doc_id", "key", "copies", finishes.alias("finishes"))
+    def in_pass(number: int) -> Column:
+        start = F.col(own["before"]) + turn * size + F.col(own["source_size"]) * number
+        half = (size > 0) & (start + size / 2 <= target)
+        blank = (size == 0) & F.lit(number == 0)
+        return F.when(half | blank, finish_time(start, size, target))
+
+    return F.array_compact(F.array(*(in_pass(k) for k in range(passes))))
+
+
+def _with_turns(rows: DataFrame, group: list[str], part: str, turn: str) -> DataFrame:
+    """Number the rows of each group from 0, no group ever meeting in one task.
+
+    ``part`` is the scan task that a row came from. Rows are numbered within group and part, and each part starts
+    where the parts before it end. The rows are stored, so that both steps see the same parts.
+    """
+    rows = stored(rows, "identical_rows")
+    name = [F.col(c) for c in group]
+    within = Window.partitionBy(*name, part).orderBy(F.lit(0))
+    sizes = rows.groupBy(*(n.alias(f"_{k}") for k, n in enumerate(name)), F.col(part).alias("_part")).agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy("_0", "_1", "_2").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    matches = reduce(lambda a, b: a & b, (n.eqNullSafe(F.col(f"_{k}")) for k, n in enumerate(name)), F.col(part) == F.col("_part"))
+    numbered = rows.withColumn(turn, F.row_number().over(within) - 1).join(starts, matches)
+    return numbered.withColumn(turn, (F.col(turn) + F.col("_first")).cast("long")).drop("_0", "_1", "_2", "_part", "_first")
 
 
 def mix(
@@ -185,20 +219,23 @@ def mix(
     identical rows each is served in its turn. An empty table gives an empty table. Columns of
     ``docs`` may have any names.
     """
-    key, mine, match, copies, finishes, finish, turn = spare(
-        docs, "mix_key", "mix_id", "mix_match", "mix_copies", "mix_finishes", "mix_finish", "mix_turn"
-    )
     queues = queue(docs, id_column, text_column, source_column, weights, passes, seed, bucket_rows)
-    times = served_times(queues, passes).filter(F.size("finishes") > 0).select(
-        F.col("doc_id").alias(mine), F.col("key").alias(match), F.col("copies").alias(copies), F.col("finishes").alias(finishes)
+    key, finish, part, turn, *names = spare(
+        docs, "mix_order", "mix_finish", "mix_part", "mix_turn", *(f"mix_{c}" for c in queues.columns)
+    )
+    own = dict(zip(queues.columns, names, strict=True))
+    keyed = docs.withColumn(key, order_key(quoted(id_column), quoted(text_column), seed)).withColumn(part, F.spark_partition_id())
+    matches = (
+        (F.col(key) == F.col(own["key"]))
+        & quoted(id_column).eqNullSafe(F.col(own["doc_id"]))
+        & quoted(source_column).eqNullSafe(F.col(own["source"]))
     )
-    keyed = docs.withColumn(key, order_key(quoted(id_column), quoted(text_column), seed))
-    joined = keyed.join(times, (F.col(key) == F.col(match)) & quoted(id_column).eqNullSafe(F.col(mine)))
-    alone = joined.filter(F.col(copies) == 1)
-    # identical rows share out their group's times: row r of n takes the r-th and every n-th from there
-    several = joined.filter(F.col(copies) > 1)
-    several = several.withColumn(turn, F.row_number().over(Window.partitionBy(match, mine).orderBy(quoted(source_column))))
-    several = several.withColumn(finishes, F.filter(finishes, lambda _, k: k % F.col(copies) == F.col(turn) - 1)).drop(turn)
-    served = alone.unionByName(several).withColumn(finish, F.explode(finishes))
+    joined = keyed.join(queues.select(*(F.col(c).alias(name) for c, name in own.items())), matches)
+    served = joined.filter(F.col(own["copies"]) == 1).withColumn(turn, F.lit(0).cast("long"))
+    # identical rows share out their group's times: row r has the r-th time of each pass
+    if not queues.filter("copies > 1").isEmpty():
+        group = [own["key"], own["doc_id"], own["source"]]
+        served = served.unionByName(_with_turns(joined.filter(F.col(own["copies"]) > 1), group, part, turn))
+    served = served.withColumn(finish, F.explode(_finishes(own, F.col(turn), passes)))
     ordered = served.repartitionByRange(F.col(finish), F.col(key)).sortWithinPartitions(finish, key)
     return ordered.select(*map(quoted, docs.columns))

@@ -94,13 +94,64 @@ def test_mix_is_ordered_and_near_targets(spark):
     assert cases.bag(mixed, "doc_id") == cases.bag(mixing.mix(docs.repartition(3)), "doc_id")
 
 
+def expected_passes(rows):
+    """(id, source) → how often the mix takes it: a copy of a row is in a pass if half of its words are within the target."""
+    sizes, queues = defaultdict(int), defaultdict(list)
+    for i, text, source in rows:
+        sizes[source] += size_of(text)
+        inner = hashlib.md5((text or "").encode()).hexdigest()
+        key = hashlib.md5(f"7|{'' if i is None else i}|{inner}".encode()).hexdigest()
+        queues[source].append((key, i is not None, i, size_of(text)))
+    targets, out = expected_targets(sizes), defaultdict(int)
+    for source, queue in queues.items():
+        at = 0
+        for number in range(3):
+            for _, _, i, size in sorted(queue, key=lambda x: (x[0], x[1], x[2] or 0)):
+                out[i, source] += number == 0 if size == 0 else at + size / 2 <= targets[source]
+                at += size
+    return {k: n for k, n in out.items() if n}
+
+
+def mixed_passes(df):
+    return {(r.doc_id, r.source): r["count"] for r in df.groupBy("doc_id", "source").count().collect()}
+
+
 def test_identical_rows_are_served_in_turn(spark):
     rows = [(1, "a b c d", "s")] * 10 + [(2, " ".join(["w"] * 400), "t")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     queues = mixing.queue(docs)
-    served = mixing.mix(docs).groupBy("doc_id").count().collect()
-    finishes = {r.doc_id: len(r.finishes) for r in mixing.served_times(queues).collect()}
-    assert {r.doc_id: r["count"] for r in served} == {k: v for k, v in finishes.items() if v}
-    taken = mixing.taken_words(queues).filter("doc_id = 1").agg(F.sum("taken"), F.max("taken")).first()
-    assert taken[0] == 120 and taken[1] == 12
+    assert mixed_passes(mixing.mix(docs)) == expected_passes(rows)
+    for range_rows in (3, 4096):
+        taken = mixing.taken_words(queues, range_rows=range_rows)
+        assert cases.bag(taken, "doc_id", "size", "taken") == expected_taken(rows)
     assert mixing.mix(cases.empty(spark)).count() == 0
+
+
+def test_one_id_and_text_in_several_sources(spark):
+    """Each source serves its own rows only."""
+    rows = [(1, "a b c d e f", s) for s in "abc"] + [(1, "a b c d e f", "b")] * 3 + [(2, cases.prose(3, 90), "a"), (3, "x", None)]
+    rows += [(1, "a b c d e f", None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = mixing.mix(docs)
+    assert mixed_passes(mixed) == expected_passes(rows)
+    assert mixed_passes(mixing.mix(cases.frame(spark, ("size", "target", "key")))) == expected_passes(
+        [(r[0], r[1], r[3]) for r in cases.rows()]
+    )
+
+
+def test_a_hundred_thousand_identical_rows(spark):
+    rows = spark.range(100_000, numPartitions=8).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    rows = rows.unionByName(spark.createDataFrame([(2, "w " * 60_000, "t")], rows.schema))
+    queues = mixing.queue(rows)
+    taken = mixing.taken_words(queues).filter("doc_id = 1").agg(F.count("*"), F.sum("taken"), F.max("taken"), F.min("taken")).first()
+    target = queues.filter("doc_id = 1").first().target
+    assert (taken[0], taken[1]) == (100_000, int(target)) and taken[2] - taken[3] <= 3
+    served = mixing.mix(rows).filter("doc_id = 1").count()
+    assert abs(3 * served - target) <= 3
+
+
+def test_plans_run_no_python(spark):
+    docs = cases.frame(spark)
+    for found in (mixing.mix(docs), mixing.taken_words(mixing.queue(docs))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
