@@ -39,9 +39,6 @@ QUOTED = 0.25  # weight of a quoted hit
 CROWDED = 0.5  # added to a hit's weight for another one near
 CHANCE = 1e-9  # a term is learned if chance explains its share of toxic documents no better
 LEVEL = 0.3
-LONGEST = 64  # letters of a word that can be near a term
-CROWD = 3  # words of other documents near a term that may have edits
-TURN = 5_000  # words of other documents searched for neighbours at a time
 FAMILY = 4  # words with one stem that make a family
 CLEAR = 1 << 20  # words without hit that a task remembers
 MERGE = 1 << 18  # rows of counted words that wait to be added up
@@ -128,8 +125,7 @@ class Lexicon:
         if self.index is None:
             self.index = {}
             for bound in sorted(set(self.bound)):
-                # a word near a term is shorter than LONGEST, so a longer term has no word near it
-                own = [t.encode() for t, b in zip(self.terms, self.bound, strict=True) if b == bound and len(t) < LONGEST + b]
+                own = [t.encode() for t, b in zip(self.terms, self.bound, strict=True) if b == bound]
                 sizes = np.array([len(r) for r in own], dtype=np.int64)
                 data = np.frombuffer(b"".join(own), dtype=np.uint8)
                 letters = Letters(data, np.cumsum(sizes) - sizes, sizes)
@@ -145,7 +141,7 @@ class Lexicon:
         letters = Letters(data, starts, sizes)
         may = np.zeros(len(starts), dtype=bool)
         for bound, known in self.neighbours().items():
-            near = known.sizes[np.minimum(letters.counts, len(known.sizes) - 1)] & (letters.counts < LONGEST)
+            near = known.sizes[np.minimum(letters.counts, len(known.sizes) - 1)]
             for deleted in range(bound + 1):
                 for which, hashes in letters.shortened(np.flatnonzero(near & ~may), deleted):
                     may[which[known.have(hashes).any(axis=1)]] = True
@@ -161,10 +157,10 @@ class Neighbours:
         self.bits = np.uint64(64 - max(16, min(24, int(len(self.hashes)).bit_length() + 5)))
         self.table = np.zeros(1 << (64 - int(self.bits)), dtype=bool)
         self.table[self._slots(self.hashes)] = True
-        self.sizes = np.zeros(LONGEST + 4, dtype=bool)
+        # the last entry stands for all words too long for any term
+        self.sizes = np.zeros(int(counts.max(initial=0)) + 4, dtype=bool)
         for n in np.unique(counts).tolist():
             self.sizes[max(0, n - allowed(n)) : n + allowed(n) + 1] = True
-        self.sizes[-1] = False
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> self.bits).astype(np.int64)
@@ -264,7 +260,7 @@ class Model:
 
     def _weigh(self, word: str) -> tuple[float, float]:
         weight = self.terms.get(word, 0.0)
-        if not weight and len(word) < LONGEST and word not in self.harmless:
+        if not weight and word not in self.harmless:
             hit = self.lexicon.nearest(word)
             if hit is not None:
                 weight = self.terms[self.lexicon.terms[hit[0]]] / (1 + hit[1])
@@ -421,19 +417,9 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
                 others = sorted(counted.words(first[(b > 1) & ~chosen]))
     stems = {s: w for s, w in stems.items() if families[s] >= FAMILY}
     lexicon = Lexicon(sorted(terms))
-    # words near a term that several other documents use are not misspellings of it, and a term with many such
-    # neighbours has no misspellings that could be told apart: it is matched as it is
-    # (in turns, so that a crowded term is not searched for again and again)
-    near: list[tuple[str, int]] = []
-    neighbours: Counter = Counter()
-    turns = max(1, -(-len(others) // TURN))
-    for turn in range(turns):
-        some = near_words(lexicon, others[turn::turns])
-        near += some
-        neighbours.update(term for _, term in some)
-        bound = [0 if neighbours[k] > CROWD else b for k, b in enumerate(lexicon.bound)]
-        if bound != lexicon.bound:
-            lexicon = Lexicon(lexicon.terms, bound)
+    # a word that several other documents use is no misspelling, however near a term it is; all other words near
+    # the term still are
+    near = near_words(lexicon, others)
     model = Model(terms, stems, lexicon, frozenset(w for w, _ in near), np.zeros(len(NAMES)))
     x = np.concatenate([model.features(w) for w in textbatch.blocks(texts, textbatch.ALPHANUMERIC)])
     model.coefficients = logistic(x, toxic.astype(float))
@@ -448,7 +434,7 @@ def near_words(lexicon: Lexicon, words: list[str]) -> list[tuple[str, int]]:
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
     may = np.flatnonzero(lexicon.screened(data, np.cumsum(sizes) - sizes, sizes)).tolist()
-    found = ((words[k], lexicon.nearest(words[k])) for k in may if len(words[k]) < LONGEST)
+    found = ((words[k], lexicon.nearest(words[k])) for k in may)
     return [(word, hit[0]) for word, hit in found if hit is not None]
 
 
