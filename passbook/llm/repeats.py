@@ -109,7 +109,9 @@ def candidates(marked: DataFrame, of: DataFrame, length: int, gram: int) -> Data
     rows = marked.select("mark", "text").mapInArrow(_anchor_rows(length, gram), "gram long, mark long, pos int")
     rows = stored(rows, "anchors")
     both = rows.groupBy("gram").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low < high")
-    held = rows.join(both.select("gram"), "gram", "left_semi").groupBy("mark").agg(F.collect_set("pos").alias("anchors"))
+    # a table of its own: the join then has an exchange on either side, and one gram's many rows can be split
+    both = stored(both.select("gram"), "shared_anchors")
+    held = rows.join(both, "gram", "left_semi").groupBy("mark").agg(F.collect_set("pos").alias("anchors"))
     wanted = stored(of.join(held, "mark").select("rank", "mark", "other", "n", "anchors"), "candidate_ids")
     key = ["rank", "mark", "other"]
     alone = marked.join(wanted.filter("n = 1").drop("n"), key)
