@@ -83,41 +83,29 @@ class Lexicon:
     def nearest(self, word: str) -> tuple[int, int] | None:
         """The term within its bound of edits, least edits first, then first in order: (term, edits).
 
-        A state lists the edits from the node's letters to the beginnings of the word that are no more
-        than ``most`` letters shorter or longer; other beginnings are too far in any case.
+        The automaton's state is three bit sets: bit i of the j-th says that the letters on the way to the node are
+        at most j edits from the first i letters of the word. A step is a few shifts of whole sets.
         """
         best: tuple[int, int] | None = None
-        most, size = self.root.most, len(word)
-        far = most + 1
-        # state[d] belongs to the beginning of length depth - most + d
-        stack = [(self.root, 0, tuple(abs(d - most) if d >= most else far for d in range(2 * most + 1)))]
+        accepting, full = 1 << len(word), (2 << len(word)) - 1
+        masks: dict[str, int] = {}
+        for i, letter in enumerate(word):
+            masks[letter] = masks.get(letter, 0) | 1 << i
+        stack = [(self.root, 1, 3 & full, 7 & full)]
         while stack:
-            node, depth, state = stack.pop()
-            if node.term >= 0:
-                edits = state[size - depth + most] if abs(size - depth) <= most else far
+            node, none, one, two = stack.pop()
+            if node.term >= 0 and two & accepting:
+                edits = 0 if none & accepting else 1 if one & accepting else 2
                 if edits <= self.bound[node.term] and (best is None or (edits, node.term) < (best[1], best[0])):
                     best = (node.term, edits)
-            depth += 1
             for letter, child in node.next.items():
-                row, left, least = [], far, far
-                for d in range(2 * most + 1):
-                    length = depth - most + d
-                    if length < 0 or length > size:
-                        left = far
-                    elif length == 0:
-                        left = min(depth, far)
-                    else:
-                        value = state[d] + (word[length - 1] != letter)
-                        if left < value:
-                            value = left + 1 if left + 1 < value else value
-                        if d < 2 * most and state[d + 1] + 1 < value:
-                            value = state[d + 1] + 1
-                        left = value
-                    row.append(left)
-                    if left < least:
-                        least = left
-                if least <= child.most:
-                    stack.append((child, depth, tuple(row)))
+                same = masks.get(letter, 0)
+                a = (none & same) << 1
+                # the letter is new, stands for another one, or letters of the word are left out
+                b = ((one & same) << 1 | none | none << 1 | a << 1) & full
+                c = ((two & same) << 1 | one | one << 1 | b << 1) & full
+                if c if child.most == 2 else b if child.most else a:
+                    stack.append((child, a, b, c))
         return best
 
     def neighbours(self) -> dict[int, Neighbours]:
