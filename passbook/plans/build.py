@@ -16,7 +16,8 @@ from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy
 from passbook.plans import anomaly, marts, staging
 from passbook.plans.expectations import test_models
 from passbook.sources.calendar import dim_date
-from passbook.sources.landing import scan, table_path
+from passbook.sources.landing import scan
+from passbook.sources.martstore import Build, as_mart, read_mart  # noqa: F401
 from passbook.workspace import temporary_tables
 
 TABLES = [
@@ -28,18 +29,15 @@ TABLES = [
 ]
 
 
-def read_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(base, name))
-
-
-def as_table(base: str) -> Callable[[str, DataFrame], DataFrame]:
-    """Materialise by full overwrite and read back."""
-
-    def write(name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").parquet(table_path(base, name))
-        return rows.sparkSession.read.schema(rows.schema).parquet(table_path(base, name))
-
-    return write
+#: Which column deals a mart's rows into buckets; other marts are one bucket.
+DEALT = {
+    "stg_accounts": "account_id",
+    "account_changes_in_order": "account_id",
+    "dim_accounts": "account_id",
+    "dim_customers": "customer_id",
+    "fact_transactions": "from_account_id",
+    "completed_with_features": "from_account_id",
+}
 
 
 def as_view(name: str, rows: DataFrame) -> DataFrame:
@@ -110,14 +108,16 @@ def rebuild(
     view: Callable[[str, DataFrame], DataFrame] | None = None,
     drop_deleted: bool = False,
 ) -> DataFrame:
-    """Build all models from the landing zone, test them, and fail if an ``error`` test fails.
+    """Build all models from the landing zone, test them, and publish them if no ``error`` test fails.
 
+    Until then, and if a test fails, readers (``read_mart``) see the marts of the build before.
     Pass ``view=as_view`` to keep staging and features as views. Returns the test results.
     """
     landing = {t: scan(spark, landing_base, t) for t in ("customers", "accounts", "transactions")}
     with temporary_tables(spark):
-        models = build_models(
-            landing, dim_date(spark, anchor), as_table(mart_base), view, flagged_at, policy, drop_deleted
-        )
+        build = Build(spark, mart_base)
+        models = build_models(landing, dim_date(spark, anchor), as_mart(build, DEALT), view, flagged_at, policy, drop_deleted)
         results = gate(test_models(models))
-        return spark.createDataFrame(results.collect(), results.schema)  # one row per test
+        kept = spark.createDataFrame(results.collect(), results.schema)  # one row per test
+        build.publish()
+        return kept

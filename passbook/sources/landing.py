@@ -118,13 +118,13 @@ def scan(
     return _between(_folders(spark, base, table, version["open"], folders), since, until)
 
 
-def scan_since(spark: SparkSession, base: str, table: str, before: dict) -> DataFrame:
-    """Rows of the folders that the version ``before`` did not name yet.
+def scan_since(spark: SparkSession, base: str, table: str, before: dict, now: dict | None = None) -> DataFrame:
+    """Rows of the folders that the version ``before`` did not name yet, as of the version ``now``.
 
     All rows written since then are among them. Rows that were there before come again if their hour has been
     closed anew meanwhile, so readers must not mind repeated rows; the models drop them anyway.
     """
-    now = head(spark, base, table)
+    now = now or head(spark, base, table)
     known = live_hours(spark, base, table, before).select("folder")
     fresh = live_hours(spark, base, table, now).join(known, "folder", "left_anti")
     batches = [b for b in now["open"] if b not in set(before["open"])]
