@@ -137,3 +137,46 @@ def test_held_out_documents(spark):
     judged = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").filter("held_out")
     rates = {r.toxic: r.hit for r in judged.groupBy("toxic").agg(F.avg("predicted").alias("hit")).collect()}
     assert rates[1] > 0.9 and rates[0] < 0.02
+
+
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_nearest_term_of_words_of_any_length():
+    import random
+
+    rnd = random.Random(4)
+    terms = sorted({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 14))) for _ in range(60)} | {"xy" * 50, "z" * 300})
+    lexicon = toxicity.Lexicon(terms)
+    words = ["".join(rnd.choice("abcd") for _ in range(rnd.randrange(0, 15))) for _ in range(300)]
+    words += ["xy" * 49 + "x", "xy" * 50 + "ab", "xy" * 51 + "x", "z" * 298, "z" * 302, "z" * 303, "é" + "z" * 299]
+    for word in words:
+        near = [(edit_distance(word, t), k) for k, t in enumerate(terms)]
+        near = [(d, k) for d, k in near if d <= toxicity.allowed(len(terms[k]))]
+        assert lexicon.nearest(word) == ((min(near)[1], min(near)[0]) if near else None)
+        raw = word.encode()
+        import numpy as np
+
+        may = lexicon.screened(np.frombuffer(raw, dtype=np.uint8), np.array([0]), np.array([len(raw)]))
+        assert may[0] or not near
+
+
+def test_every_term_of_five_letters_keeps_its_edits():
+    """Common words near a term are exempt themselves; the term's other neighbours still count."""
+    import numpy as np
+    import pyarrow as pa
+
+    common = ["brantes", "brantel", "branter", "brantax", "bramtex", "brontex"]
+    texts = [f"well brantex here {k}" for k in range(40)] + [f"{w} stands here {k}" for k in range(40) for w in common]
+    toxic = np.array([1] * 40 + [0] * 240)
+    model = toxicity.fit(pa.array(texts), toxic)
+    assert "brantex" in model.terms
+    assert all(b == toxicity.allowed(len(t)) for t, b in zip(model.lexicon.terms, model.lexicon.bound))
+    assert set(common) <= model.harmless
+    assert model._weigh("brantxx")[0] > 0 and model._weigh("brntex")[0] > 0 and model._weigh("brantes")[0] == 0
