@@ -5,7 +5,8 @@ Each is permuted within its own format by a keyed Feistel network: the digits ar
 are shifted by a keyed hash of the other half, modulo the half's own range. Such a network maps the
 valid values of a format one to one onto each other: a card stays a card with a right check digit, a
 date stays a date, and separators stay where they are. The same value gets the same pseudonym in every
-document and in every notation, so records stay linked; without the key it cannot be undone.
+document and in every notation, so records stay linked; without the key it cannot be undone. Dates keep one
+thing: whether their day is above 12, because a pseudonym written month first is read day first otherwise.
 
 Only SQL functions are used. The text is cut at the matches and put together again.
 """
@@ -33,8 +34,11 @@ IBAN_LENGTHS = {
 _LENGTHS = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}(?![0-9A-Za-z])" for n, c in IBAN_LENGTHS.items())
 _OPEN_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
 IBAN = rf"(?<![0-9A-Za-z])(?:{_LENGTHS}|{_OPEN_IBAN})"
-ISO_DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-DAY_DATE = r"(?<![0-9./])[0-9]{1,2}([./])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9./]*[0-9])"
+ISO_DATE = r"(?:(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])(?:19|20)[0-9]{2}/[0-9]{2}/[0-9]{2}(?![0-9/]))"
+DAY_DATE = (
+    r"(?:(?<![0-9./])[0-9]{1,2}([./])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9./]*[0-9])"
+    r"|(?<![0-9-])[0-9]{1,2}-[0-9]{1,2}-(?:19|20)[0-9]{2}(?![0-9-]))"
+)
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
@@ -59,7 +63,10 @@ GROUPED = [
         "[0-9]{2,3}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}", "[0-9]{2,3}[ -][0-9]{6}[ -][0-9]{4,5}", "[0-9]{2,3}(?:[ -][0-9]{3}){3}",
     )
 ]
-FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 days: 1900-01-01 to 2099-12-31
+FIRST_DAY = "1900-01-01"
+MONTHS = 2400  # to 2099-12-31
+EARLY = (160, 180)  # MONTHS * 12 days up to the twelfth of a month
+LATE, LATE_GRID = 44_249, (17, 2603)  # the other days; the grid has two places more
 
 
 def _keyed(key: str, tweak: str, step: Column, value: Column) -> Column:
@@ -162,16 +169,53 @@ def _iban(value: Column, key: str) -> Column:
     return refilled(value, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body), r"[0-9A-Z]")
 
 
+def _late_before(month: Column) -> Column:
+    """Days after the twelfth in the months before this one, counted from the first."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.datediff(F.add_months(first, month), first) - month * 12
+
+
+def _permuted_number(number: Column, grid: tuple[int, int], key: str, tweak: str) -> Column:
+    a, b = grid
+    pair = permuted_pair(F.floor(number / b), F.pmod(number, F.lit(b)), F.lit(a), F.lit(b), key, tweak)
+    return _bound(pair, lambda p: p["a"] * b + p["b"])
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _early_day(number: Column) -> Column:
+    return F.date_add(F.add_months(F.lit(FIRST_DAY).cast("date"), F.floor(number / 12).cast("int")), F.pmod(number, F.lit(12)).cast("int"))
+
+
+def _late_day(rank: Column) -> Column:
+    """The day of a rank among the days after the twelfth; its month follows from the rank to within one."""
+    guess = F.floor(rank * MONTHS / LATE).cast("int")
+    near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: F.struct((guess + k).alias("month"), _late_before(guess + k).alias("before")))
+    at = F.array_max(F.filter(near, lambda m: m["before"] <= rank))
+    return _bound(at, lambda m: F.date_add(F.add_months(F.lit(FIRST_DAY).cast("date"), m["month"]), (rank - m["before"] + 12).cast("int")))
+
+
 def _day(day: Column, key: str) -> Column:
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    pair = permuted_pair(F.floor(number / DAYS[1]), F.pmod(number, F.lit(DAYS[1])), F.lit(DAYS[0]), F.lit(DAYS[1]), key, "date")
-    return F.date_add(F.lit(FIRST_DAY).cast("date"), (pair["a"] * DAYS[1] + pair["b"]).cast("int"))
+    """A day up to the twelfth becomes another such day, a later one another later one."""
+    month, in_month = (F.year(day) - 1900) * 12 + F.month(day) - 1, F.dayofmonth(day)
+    early = _permuted_number((month * 12 + in_month - 1).cast("long"), EARLY, key, "date")
+    rank = (_late_before(month) + in_month - 13).cast("long")
+    # two places of the grid are no days: walked over, which takes two steps more at most
+    late = F.aggregate(
+        F.sequence(F.lit(1), F.lit(2)),
+        _permuted_number(rank, LATE_GRID, key, "late date"),
+        lambda at, _: F.when(at < LATE, at).otherwise(_permuted_number(at, LATE_GRID, key, "late date")),
+    )
+    return F.when(in_month <= 12, _bound(early, _early_day)).otherwise(_bound(late, _late_day))
 
 
 def _date_of(value: Column, kind: str) -> Column:
     """The date a value states, null if the calendar has no such day; the day is first if it can be."""
     if kind == "iso_date":
-        return F.try_to_date(value, "yyyy-MM-dd")
+        return F.try_to_date(F.translate(value, "/", "-"), "yyyy-MM-dd")
     return F.coalesce(*(F.try_to_date(F.translate(value, "./", "--"), form) for form in ("d-M-yyyy", "M-d-yyyy")))
 
 
@@ -272,14 +316,13 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a checked value; the value itself if ``kind`` is null."""
     iso = F.date_format(_day(_date_of(value, "iso_date"), key), "yyyy-MM-dd")
-    new, mark = _day(_date_of(value, "day_date"), key), F.regexp_extract(value, "[./]", 0)
+    iso = F.when(value.contains("/"), F.translate(iso, "-", "/")).otherwise(iso)
+    mark = F.regexp_extract(value, "[./-]", 0)
     day_first = F.try_to_date(F.translate(value, "./", "--"), "d-M-yyyy").isNotNull()
     # a date with a part of one digit is written without zeros
-    short = ~value.rlike("^[0-9]{2}[./][0-9]{2}[./]")
-    parts = [F.date_format(new, p) for p in ("dd", "MM", "d", "M", "yyyy")]
-    two = F.when(day_first, F.concat_ws("/", parts[0], parts[1])).otherwise(F.concat_ws("/", parts[1], parts[0]))
-    one = F.when(day_first, F.concat_ws("/", parts[2], parts[3])).otherwise(F.concat_ws("/", parts[3], parts[2]))
-    day = F.concat(F.replace(F.when(short, one).otherwise(two), F.lit("/"), mark), mark, parts[4])
+    short = ~value.rlike("^[0-9]{2}[./-][0-9]{2}[./-]")
+    form = F.when(day_first, F.when(short, "d/M/yyyy").otherwise("dd/MM/yyyy")).otherwise(F.when(short, "M/d/yyyy").otherwise("MM/dd/yyyy"))
+    day = F.replace(F.call_function("date_format", _day(_date_of(value, "day_date"), key), form), F.lit("/"), mark)
     return (
         F.when(kind == "email", _email(value, key))
         .when(kind == "secret", permuted_letters(value, key, "secret", _HEX))
@@ -298,8 +341,9 @@ def pseudonymise(docs: DataFrame, text_column: str = "text", key: str = KEY) ->
     """``docs`` with ``text_column`` rewritten, and the kinds replaced in it as ``pseudonym_kinds`` (array).
 
     A null text stays null with an empty list; texts without a checked value stay as they are to the
-    character. Repeated rows are rewritten alike; an empty table gives an empty one. If ``docs``
-    has a column ``pseudonym_kinds``, the new one gets an underscore in front.
+    character. Repeated rows are rewritten alike; an empty table gives an empty one. Texts of any length are
+    read whole; matches do not overlap, and of kinds that match at one place the first of ``KINDS`` counts. If
+    ``docs`` has a column ``pseudonym_kinds``, the new one gets an underscore in front; other columns stay.
     """
     found, kinds, cards = spare(docs, "pseudonym_found", "pseudonym_kinds", "pseudonym_cards")
     text, none = quoted(text_column), F.array().cast("array<string>")

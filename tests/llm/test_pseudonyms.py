@@ -104,6 +104,31 @@ def test_dates_with_the_month_first_and_of_one_digit(spark):
     assert rewritten(spark, ["13/13/1990 31/4/2001 0/5/1990"]) == [("13/13/1990 31/4/2001 0/5/1990", [])]
 
 
+def test_dates_are_permuted_one_to_one_in_every_notation(spark):
+    days = spark.range(73_049).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    moved = days.select("day", pseudonyms._day(F.col("day"), "k").alias("new"))
+    assert moved.filter("new between date'1900-01-01' and date'2099-12-31'").select("new").distinct().count() == 73_049
+    assert moved.filter("(day(day) > 12) != (day(new) > 12)").count() == 0
+    assert moved.filter("day = new").count() < 100
+    # notations of four years: values that differ stay apart, those of one day stay together
+    some = moved.filter("year(day) between 1988 and 1991").collect()
+    forms = ["%d/%m/%Y", "%m/%d/%Y", "%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%m-%d-%Y"]
+    old = sorted({r.day.strftime(f) for r in some for f in forms})
+    new = {r.day: r.new for r in some}
+
+    def read(text):
+        for form in ("%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%m-%d-%Y"):
+            try:
+                return dt.datetime.strptime(text, form).date()
+            except ValueError:
+                pass
+
+    found = rewritten(spark, old)
+    assert len({t for t, _ in found}) == len(old)
+    assert all(len(k) == 1 and read(t) == new[read(o)] for (t, k), o in zip(found, old))
+    assert rewritten(spark, ["/blog/1990/12/25/x 7-12-12-2020 1990/13/25"]) == [("/blog/1990/12/25/x 7-12-12-2020 1990/13/25", [])]
+
+
 def test_what_fails_its_check_stays(spark):
     texts = [
         "4012888888881882", "1987-02-30 31.04.2001", "300.1.1.1 1.2.3.4.5 01.2.3.4", "000-45-6789 666-45-6789", "DE00370400440532013000",
