@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from passbook.llm.columns import BLANKS, quoted, trimmed, words_of
 from passbook.workspace import stored
@@ -249,15 +250,20 @@ def judge(
     """Statistics of every row, ``base_failed``, ``kept`` and the ``rule`` that rejected it.
 
     The list is learned from at most ``labelled_rows`` labelled documents that pass the base test,
-    chosen by the hash of their id; an id with labels that disagree counts as its lower one. Null or empty
-    texts fail the base test. Null ids have no label. Repeated rows are judged alike; an empty table
-    gives an empty one; without labels the base test decides alone.
+    chosen by the hash of their id; an id with labels that disagree counts as its lower one, and an id of several
+    rows is learned from once, by the row that comes first in order of its statistics. Null or empty
+    texts fail the base test, very long ones are counted whole. Null ids have no label. Repeated rows are judged
+    alike; an empty table gives an empty one; without labels the base test decides alone. Ties between
+    tests go to the first feature and lowest threshold. Other columns of ``docs``, whatever their names, are not read.
     """
     rows = stored(statistics(docs, id_column, text_column).withColumn("base_failed", base_failed()), "statistics")
     marks = labels.select(quoted(label_id).alias("_id"), quoted(quality_column).alias("_quality")).dropna()
     marks = marks.groupBy("_id").agg(F.min("_quality").alias("_quality"))
     chosen = F.xxhash64("doc_id")
     labelled = rows.join(marks, F.col("doc_id") == F.col("_id")).filter(~F.col("base_failed"))
+    # the rank is limited before the shuffle: an id repeated in many rows sends one row of each task
+    first = Window.partitionBy("doc_id").orderBy(*[c for c in rows.columns if c != "doc_id"])
+    labelled = labelled.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
     labelled = labelled.orderBy(chosen, "doc_id").limit(labelled_rows)
     list_ = learn(labelled.withColumn("poor", F.when(F.col("_quality") == 0, 1).otherwise(0)).drop("_id", "_quality"))
     rule = as_column(list_)

@@ -91,3 +91,25 @@ def test_poor_documents_go_and_good_ones_stay(spark):
     found = rules.judge(docs, labels).join(labels, "doc_id").filter("not base_failed")
     rates = {r.quality: r.share for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
     assert rates[1] > 0.99 and rates[0] < 0.1
+
+
+def test_an_id_of_many_rows_is_learned_from_once(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    ids = docs.join(labels, "doc_id").filter("quality = 1").orderBy(F.xxhash64("doc_id"))
+    first = ids.select(docs.columns).limit(1)
+    copies = first.crossJoin(spark.range(400).select(F.lit(1).alias("one"))).drop("one")
+    alone = rules.judge(docs, labels, labelled_rows=300)
+    beside = rules.judge(docs.unionByName(copies), labels, labelled_rows=300)
+    expected = {r.doc_id: r.rule for r in alone.select("doc_id", "rule").collect()}
+    found = beside.select("doc_id", "rule").collect()
+    assert len(found) == len(expected) + 400
+    assert any(expected.values()) and all(expected[r.doc_id] == r.rule for r in found)
+
+
+def test_no_python_runs(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    for frame in (rules.statistics(docs), rules.judge(docs, labels)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas", plan)
