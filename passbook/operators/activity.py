@@ -22,9 +22,10 @@ from passbook.functions.scalars import utc_micros
 from passbook.operators.skew import (
     DEFAULT_POLICY,
     SLOT,
+    Heavy,
     SkewPolicy,
     heavy_keys,
-    slot_number,
+    slots_of,
     with_cuts,
 )
 
@@ -120,19 +121,15 @@ def _ordinary(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     )
 
 
-def _rolling_by_marks(rows: DataFrame, c: ActivityColumns) -> DataFrame:
+def _rolling_by_marks(rows: DataFrame, heavy: Heavy, c: ActivityColumns) -> DataFrame:
     """(account, instant) → events in the rolling interval ending at that instant.
 
     Equal instants are counted before any shuffle. Each instant enters the running sum with +n and
     leaves it with −n just after the interval; the sum is taken inside a slot and completed by the
     total of the earlier slots. Its cost is linear, however many events share an interval.
     """
-    slotted = rows.filter("_rolls").withColumns(
-        {
-            "_enters": slot_number(F.col("_micros")),
-            "_leaves": slot_number(F.col("_micros") + F.lit(c.rolling_micros + 1)),
-        }
-    )
+    entered = slots_of(rows.filter("_rolls"), heavy, c.account, F.col("_micros"), "_enters")
+    slotted = slots_of(entered, heavy, c.account, F.col("_micros") + F.lit(c.rolling_micros + 1), "_leaves")
     instants = slotted.groupBy(c.account, "_micros", "_enters", "_leaves").agg(F.count(F.lit(1)).alias("_n"))
     enter = F.struct(F.col("_enters").alias(SLOT), F.col("_micros").alias("_at"), F.col("_n").alias("_step"))
     leave = F.struct(
@@ -197,13 +194,13 @@ def _per_day(rows: DataFrame, c: ActivityColumns) -> DataFrame:
     ).select("_day_key", "_day_of", "_same_day", "_mean", "_deviation", "_daily")
 
 
-def _heavy(rows: DataFrame, c: ActivityColumns) -> DataFrame:
+def _heavy(rows: DataFrame, heavy: Heavy, c: ActivityColumns) -> DataFrame:
     same_day = F.col(c.account).eqNullSafe(F.col("_day_key")) & F.col("_day").eqNullSafe(F.col("_day_of"))
     same_instant = F.col(c.account).eqNullSafe(F.col("_instant_key")) & F.col("_micros").eqNullSafe(
         F.col("_instant")
     )
     return rows.join(_per_day(rows, c), same_day, "left").join(
-        _rolling_by_marks(rows, c), same_instant, "left"
+        _rolling_by_marks(rows, heavy, c), same_instant, "left"
     )
 
 
@@ -232,7 +229,7 @@ def with_activity(
         return _with_features(_ordinary(prepared, c), originals, c)
     tagged = with_cuts(prepared, heavy, c.account)
     ordinary = _ordinary(tagged.filter(F.col("_cuts").isNull()), c)
-    split = _heavy(tagged.filter(F.col("_cuts").isNotNull()), c)
+    split = _heavy(tagged.filter(F.col("_cuts").isNotNull()), heavy, c)
     return _with_features(ordinary, originals, c).unionByName(_with_features(split, originals, c))
 
 

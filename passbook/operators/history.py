@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from passbook.functions.scalars import md5_key, millis_to_utc, utc_micros
 from passbook.operators.messages import POSITION
-from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy, with_slot
+from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy, placed, with_slot
 
 TRACKED = ("balance", "status")
 
@@ -50,7 +50,8 @@ def change_points(
     Uses the slots of ``log`` if it carries them; ``keep_slot`` hands them on.
     """
     order = [time, *POSITION]
-    slotted = log if SLOT in log.columns else with_slot(log, key, F.col(time), policy)
+    along = placed(F.col(time), *[F.col(c) for c in POSITION])
+    slotted = log if SLOT in log.columns else with_slot(log, key, along, policy)
 
     # last state of every slot, offered to the next slot of the same key
     slot_end = (
@@ -151,12 +152,12 @@ def as_of(
     A version holds for ``valid_from <= t < valid_to``. Facts and versions are merged into one
     time line per key and each fact takes the last version before it, so the cost is one sort; an
     equality-plus-range join would pair every fact of a key with every version of it.
-    Facts without a valid version keep nulls; those without a key go round the time line.
+    Facts without a valid version keep nulls; those without a key or a time go round the time line.
     """
-    keyless = facts.filter(F.col(fact_key).isNull())
-    facts = facts.filter(F.col(fact_key).isNotNull())
+    known = F.col(fact_key).isNotNull() & F.col(fact_time).isNotNull()
+    keyless, facts = facts.filter(~known), facts.filter(known)
     version = F.struct(F.col("valid_to").alias("_until"), *take)
-    line = versions.filter(F.col(version_key).isNotNull()).select(
+    line = versions.filter(F.col(version_key).isNotNull() & F.col("valid_from").isNotNull()).select(
         F.col(version_key).alias("_line_key"),
         F.col("valid_from").alias("_at"),
         F.col("version_number").cast("bigint").alias("_seq"),

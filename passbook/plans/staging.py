@@ -13,7 +13,7 @@ from passbook.operators.messages import (
     earliest_per_key,
     latest_per_key,
 )
-from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy, with_slot
+from passbook.operators.skew import DEFAULT_POLICY, SLOT, SkewPolicy, placed, with_slot
 
 
 def _tokens(table: str) -> list:
@@ -49,7 +49,8 @@ def account_events(landing: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> D
     ``marts.dim_accounts`` drops the copies on its way: the log then crosses the network once.
     """
     live = landing.filter(F.col("_cdc_op") != "d")
-    return with_slot(live, "account_id", F.col("_cdc_ts_ms"), policy).select(
+    along = placed(F.col("_cdc_ts_ms"), *[F.col(c) for c in POSITION])
+    return with_slot(live, "account_id", along, policy).select(
         "account_id",
         "customer_id",
         *_tokens("accounts"),
