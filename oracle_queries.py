@@ -860,6 +860,15 @@ add(
     [ACCOUNT_LOG],
     "SELECT account_id, _cdc_ts_ms, _kafka_partition, _kafka_offset FROM account_once",
 )
+add(
+    "stream_bursts",
+    [facts("user_id % 10")],
+    """SELECT transaction_id, from_account_id, epoch_us(created_at) AS created_micros, transfers_in_2h_window
+FROM (SELECT *, count(*) OVER (PARTITION BY from_account_id ORDER BY created_at
+                               RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW) AS transfers_in_2h_window
+      FROM facts WHERE status = 'COMPLETED' AND transaction_type = 'TRANSFER')
+WHERE transfers_in_2h_window >= 5""",
+)
 add(
     "replayed_batches",
     [ACCOUNT_LOG],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from passbook.operators.skew import SkewPolicy
 from passbook.plans import anomaly, build, expectations, marts, refresh, reports, staging
 from passbook.sources import calendar, landing, martstore
 from passbook.sources import messages as sources
-from passbook.streaming import ingest
+from passbook.streaming import bursts, ingest
 from passbook.workspace import fresh_path, prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -658,6 +659,29 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(f"{base}/out").select("account_id", "_cdc_ts_ms", "_kafka_partition", "_kafka_offset")
 
 
+@query
+def stream_bursts(spark, sf):
+    """Burst flags from the stream: later half landed while the job is down, then a closing heartbeat."""
+    base = fresh_path(spark, "bursts")
+    rows = fx.facts(spark, sf, _mod10()).select("transaction_id", "from_account_id", "created_at", "transaction_type", "status")
+    facts = stored(rows, "facts")
+    first, last = facts.agg(F.min("created_at"), F.max("created_at")).first()
+    middle = first + (last - first) / 2
+    beat = spark.range(1).select(
+        F.lit("heartbeat").alias("transaction_id"), F.lit("heartbeat").alias("from_account_id"),
+        F.lit(str(last + timedelta(days=1))).cast("timestamp_ntz").alias("created_at"),
+        F.lit("TRANSFER").alias("transaction_type"), F.lit("COMPLETED").alias("status"),
+    )
+    early = F.col("created_at") <= F.lit(str(middle)).cast("timestamp_ntz")
+    for part in (facts.filter(early), facts.filter(~early).unionByName(beat)):
+        part.write.mode("append").parquet(f"{base}/rows")
+        source = spark.readStream.schema(facts.schema).parquet(f"{base}/rows")
+        job = bursts.start_flags(source, f"{base}/out", f"{base}/checkpoint", "1 hour", available_now=True)
+        job.awaitTermination()
+    flags = spark.read.schema(bursts.FLAGS).parquet(f"{base}/out")
+    return flags.select("transaction_id", "from_account_id", "created_micros", "transfers_in_2h_window")
+
+
 @query
 def replayed_batches(spark, sf):
     """A batch written twice and late rows in a batch of their own: each row once."""
