@@ -1,7 +1,9 @@
 """Token sequences in training order, as binary shards of fixed stride.
 
-1. Tasks tokenise whole texts, number the sequences of their partition from zero and write the tokens once.
-2. Partition totals, one row per task, give every sequence a dense index in 0 ... N-1.
+1. Documents are range-partitioned and sorted by a hash of id and text, so that their order does not depend on how
+   the input is cut. Tasks tokenise whole texts, number the sequences of their range from zero and write the
+   tokens once.
+2. Range totals, one row per task, give every sequence a dense index in 0 ... N-1.
 3. A keyed Feistel network permutes the indexes: it runs on the least even number of bits that holds N,
    and walks on along its cycle while a value is N or more. Index and key alone give the slot;
    nothing is drawn, sorted or looked up.
@@ -203,8 +205,10 @@ def shards(
     token. Every document ends with the end token; a null or empty text is that token alone. Null ids stay
     null, repeated rows are documents of their own, other columns are ignored, an empty table has no block.
 
-    The order depends on the key and on how the scan deals the rows of ``docs`` into partitions; once
-    written (``write``), shards are read without either.
+    The order depends on the key and on the rows of ``docs`` alone, not on their files, splits or partitions.
+    Equal rows have equal sequences, so which of them comes first (a tie) decides nothing; a large group of
+    them is dealt over the ranges by a random number. A very long text is tokenised whole, as one document
+    of many sequences. The written shards (``write``) are read without the key.
     """
     spark = docs.sparkSession
     content = spark.read.format("binaryFile").load(vocabulary).select("content").first()[0]  # the rank file
@@ -213,6 +217,12 @@ def shards(
     ranks = spark.sparkContext.broadcast(bytes(content))
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType
+    id_text, text_of = F.col("doc_id").cast("string"), F.col("text")
+    flags = F.concat(F.isnull(id_text).cast("string"), F.isnull(text_of).cast("string"))
+    rank = F.md5(F.concat_ws("|", F.lit(str(key)), flags, id_text, F.md5(text_of.cast("binary"))).cast("binary"))
+    # equal rows are cut by a number of their own: a seeded one, which a repeated task draws again
+    ranked = rows.withColumn("rank", rank).withColumn("tie", F.rand(key))
+    rows = ranked.repartitionByRange("rank", "tie").sortWithinPartitions("rank").select("doc_id", "text")
     arrow = to_arrow_type(kind)
     schema = T.StructType(
         [T.StructField("part", T.IntegerType()), T.StructField("first", T.LongType()), T.StructField("n_sequences", T.LongType()),

@@ -63,3 +63,21 @@ def test_special_strings_are_text(spark):
     own = tokenizer(spark)
     tokens = np.frombuffer(block.payload, "<u2")[: block.n_tokens[0]].tolist()
     assert tokens.count(own.end) == 1 and own.encoding.decode(tokens[:-1]) == "a <|endoftext|> b"
+
+
+def test_order_does_not_depend_on_the_cut(spark):
+    rows = [(k % 70 if k % 9 else None, cases.prose(k % 70, 40) if k % 11 else None) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    orders = []
+    for cut in (docs.repartition(1), docs.repartition(7), docs.orderBy(docs.text.desc()).coalesce(3)):
+        blocks = sequences.shards(cut, stride=16, block=8).orderBy("block").collect()
+        orders.append([(b.block, b.doc_ids, b.chunks, b.n_tokens, bytes(b.payload)) for b in blocks])
+    assert orders[0] == orders[1] == orders[2]
+    other = sequences.shards(docs, stride=16, block=8, key=1).orderBy("block").collect()
+    assert [b.doc_ids for b in other] != [o[1] for o in orders[0]]
+
+
+def test_equal_rows_are_dealt_over_ranges(spark):
+    docs = spark.createDataFrame([(1, "the same")] * 4000 + [(k, "x") for k in range(100)], "doc_id long, text string")
+    plan = sequences.shards(docs, stride=8, block=64).select("doc_ids", "n_sequences")
+    assert sum(r.n_sequences for r in plan.collect()) == 4100
