@@ -648,7 +648,7 @@ def stream_dedup(spark, sf):
     fx.account_log(spark, sf).write.parquet(f"{base}/rows")
     rows = spark.readStream.schema(spark.read.parquet(f"{base}/rows").schema).parquet(f"{base}/rows")
     job = (
-        ingest.dedup_stream(rows, "36500 days")
+        ingest.dedup_stream(rows, "1 day")
         .writeStream.format("parquet")
         .option("path", f"{base}/out")
         .option("checkpointLocation", f"{base}/checkpoint")
