@@ -33,17 +33,27 @@ def ingest_batch(
 ) -> None:
     """Add the rows of one table, and its dead letters, to the landing zone as one batch.
 
-    Messages are read and decoded once, into a table of tokenised rows from which both sinks are
+    Messages are read and decoded once, by all cores, into a table of tokenised rows from which both sinks are
     written. Dead letters come first: when the rows are published, the batch is complete. A named ``batch``
     may be repeated (see ``landing.write_rows``).
     """
     batch = batch or uuid.uuid4().hex
-    found = outcomes(decode(drop_tombstones(of_table(messages, table)), table), table, salt, keys)
+    found = outcomes(decode(spread(drop_tombstones(of_table(messages, table))), table), table, salt, keys)
     with scratch(found, "ingest") as rows:
         write_dead_letters(rows.filter("letter is not null").select("letter.*"), base, table, batch)
         write_rows(rows.filter("letter is null").drop("letter"), base, table, batch)
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """The messages dealt evenly to as many tasks as there are cores, or more if the source has more parts.
+
+    A batch may be one file of one row group, or one busy topic partition, which a single task reads. Rows are dealt
+    by their place, which is the same when they are read again, so copies of a message are spread as well.
+    """
+    tasks = max(messages.sparkSession.sparkContext.defaultParallelism, messages.rdd.getNumPartitions())
+    return messages.repartition(tasks, F.monotonically_increasing_id())
+
+
 def write_dead_letters(letters: DataFrame, base: str, table: str, batch: str) -> None:
     (
         letters.withColumn(BATCH, F.lit(batch))

@@ -333,3 +333,20 @@ def test_keyless_columns_policy(spark):
     assert same == ("x", "y")
     custom = ev.hide_personal_columns(rows, "t", SALT, {"t": ["other"]}).select(F.col("other")).first()
     assert custom.other == token("y")
+
+
+def test_a_batch_of_one_part_is_decoded_by_all_cores(spark, tmp_path):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    from passbook.streaming import ingest
+
+    value = '{"after": {"account_id": "7"}, "op": "c", "ts_ms": 1704067200000, "source": {"ts_ms": 1704067200000}}'
+    rows = spark.range(0, 800, 1, 1).select(
+        F.lit("bank.public.accounts").alias("topic"), F.lit(0).alias("partition"), (F.col("id") % 2).alias("offset"), F.lit(value).alias("value")
+    )
+    ingest.ingest_batch(rows, "accounts", str(tmp_path), "salt", batch="s-0")
+    files = [pq.ParquetFile(p).metadata.num_rows for p in Path(tmp_path, "accounts/open").rglob("*.parquet")]
+    # copies of a message are dealt out like others
+    assert sum(files) == 800 and len(files) > 1
+    assert ingest.spread(rows).rdd.glom().map(len).collect() == pytest.approx([100] * 8, abs=60)
