@@ -75,3 +75,57 @@ def test_batch_rule_agrees(spark):
     counted = activity.rolling_count(spark.createDataFrame(rows, SCHEMA).withColumn("amount", F.lit(1).cast("decimal(18,2)")))
     batch = {(r.transaction_id, r.from_account_id, r.transfers_in_2h_window) for r in counted.collect() if r.transfers_in_2h_window >= 5}
     assert batch == brute_force(rows)
+
+
+class Store:
+    """Stands in for a pane's state and counts the calls that would go to the state store."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, {}, []
+
+    def called(self, value=None):
+        self.calls += 1
+        return value
+
+    def state(self, name):
+        store, values = self, self.values
+
+        class State:
+            exists = lambda _: store.called(bool(values.get(name)))
+            get = lambda _: store.called(iter(values.get(name, [])) if name == "lists" else values.get(name))
+            update = lambda _, v: store.called(values.update({name: v}))
+            appendValue = lambda _, v: store.called(values.setdefault(name, []).append(v))
+            clear = lambda _: store.called(values.pop(name, None))
+
+        return State()
+
+    def getListState(self, name, _):  # noqa: N802
+        return self.state(name)
+
+    getValueState = getListState  # noqa: N815
+
+    def getMapState(self, *_):  # noqa: N802
+        raise AssertionError("a call for every instant")
+
+    def registerTimer(self, due):  # noqa: N802
+        self.called(self.timers.append(due))
+
+
+def test_a_pane_of_many_transfers_takes_few_calls():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    hours2 = 2 * 60 * 60 * 1_000_000
+    store = Store()
+    pane = bursts.Bursts(hours2, 5)
+    pane.init(store)
+    for part in range(3):
+        rows = (Row(micros=1000 * k, own=True, transaction_id=f"{part}-{k}") for k in range(5000))
+        assert list(pane.handleInputRows(("a", 0), rows, None)) == []
+    found = []
+    for now in (2500, 2 * 60 * 60 * 1000):
+        found += pane.handleExpiredTimer(("a", 0), SimpleNamespace(getCurrentWatermarkInMs=lambda now=now: now), None)
+    assert store.calls < 40 and not store.values
+    counts = {r.transaction_id: r.transfers_in_2h_window for r in found}
+    assert len(found) == len(counts) and counts == {f"{p}-{k}": 3 * (k + 1) for p in range(3) for k in range(1, 5000)}
