@@ -1,19 +1,19 @@
 """HTML extraction with host suffix arrays.
 
 1. Tasks read each page's blocks (``markup``): the declared article, furniture by markup, and open blocks.
-2. The words outside declared articles are the host's token streams. A host's pages are dealt into shards of
+2. All words of the pages, those of declared articles too, are the host's token streams. A host's pages are dealt into shards of
    bounded size; in each, the streams are concatenated and a suffix array with common-prefix
    lengths gives all substrings of at least ``MIN_RUN`` tokens that occur on ``SHARE`` of the host's distinct
    pages, but on ``MIN_PAGES`` at least: a sentence that two pages quote is none, however large the host.
    Pages whose whole words (article included) are near copies count as one page: those that share a band of
    MinHash values and agree in ``ALIKE`` of all values, in shingles of five words.
-   Hosts of several shards compare the runs of all shards by hash, so that a run that is rare in
-   each of them is found like any other.
+   In hosts of several shards a run on enough pages of the host is on its part of them (the number over that of
+   the shards) in one shard at least. Those runs are looked up by hash in all pages of the host and counted exactly.
 3. Runs so covered are template text and go; unique runs stay. The markup has the last word: the text
    of a declared article is kept whole, however often it is repeated, and on pages that declare
    an article nothing outside of it is text.
 
-Streams are a small part of most pages; the articles' text moves once, to meet the runs kept.
+A page is parsed once; its blocks travel compressed.
 """
 
 from __future__ import annotations
@@ -42,14 +42,21 @@ VALUES = 64  # MinHash values of a page
 BAND = 4  # values that a band joins: a pair at similarity 0.8 misses all 16 bands once in 5,000
 ALIKE = 48  # values of near copies that agree: 51 are expected at similarity 0.8, with a deviation of 3
 
-_STREAM = (
-    "key string, host string, page bigint, n_tokens bigint, texts array<string>, open array<boolean>, "
-    "values binary, bands array<bigint>"
-)
+_STREAM = "key string, host string, page bigint, n_tokens bigint, texts binary, zones binary, values binary, bands array<bigint>"
 _FOUND = (
-    "key string, host string, family bigint, texts array<string>, open array<boolean>, starts array<int>, "
-    "loose array<int>, grams array<bigint>"
+    "key string, host string, family bigint, texts binary, zones binary, several boolean, starts array<int>, likely array<bigint>"
 )
+_RUNS = "host string, key string, family bigint, start int, gram bigint"
+_ZONES = (markup.ARTICLE, markup.OPEN, markup.FURNITURE)
+
+
+def packed(texts: list[str]) -> bytes:
+    """Blocks (they hold no line ends), compressed."""
+    return zstandard.compress("\n".join(texts).encode("utf-8", "surrogatepass"))
+
+
+def unpacked(texts: bytes) -> list[str]:
+    return zstandard.decompress(texts).decode("utf-8", "surrogatepass").split("\n")
 
 
 def host_of(url):
@@ -60,6 +67,7 @@ def host_of(url):
 _SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _PART = 4096  # shingles hashed at once
+_PAGES = 64  # pages whose runs are handed on at once
 _STEPS = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -123,12 +131,12 @@ def tokens_of(texts: list[str]) -> list[str]:
 
 
 def suffix_array(ids: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of ``ids`` in order (prefix doubling) and the prefix length, up to ``limit``, that each
-    shares with the one before."""
+    """Suffixes of ``ids``, in the order of their first ``limit`` numbers at least (prefix doubling), and the prefix length,
+    up to ``limit``, that each shares with the one before."""
     n = len(ids)
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
     order, step = np.argsort(rank, kind="stable"), 1
-    while step < n:
+    while step < min(n, limit):
         later = np.full(n, -1, dtype=np.int64)
         later[:-step] = rank[step:]
         order = np.lexsort((later, rank))
@@ -171,9 +179,8 @@ def repeated(ids: np.ndarray, page: np.ndarray, min_run: int, min_pages: int) ->
 
 
 _FOUND_ARROW = pa.schema(
-    [("key", pa.string()), ("host", pa.string()), ("family", pa.int64()), ("texts", pa.list_(pa.string())),
-     ("open", pa.list_(pa.bool_())), ("starts", pa.list_(pa.int32())), ("loose", pa.list_(pa.int32())),
-     ("grams", pa.list_(pa.int64()))]
+    [("key", pa.string()), ("host", pa.string()), ("family", pa.int64()), ("texts", pa.binary()), ("zones", pa.binary()),
+     ("several", pa.bool_()), ("starts", pa.list_(pa.int32())), ("likely", pa.list_(pa.int64()))]
 )
 
 
@@ -181,110 +188,126 @@ def _shard(min_run: int):
     """The streams of a shard, repeated rows once, with the template runs found in it."""
 
     def run(table: pa.Table) -> pa.Table:
-        several = table.column("shards")[0].as_py() > 1
-        needed = table.column("needed")[0].as_py()
-        columns = [table.column(c).to_pylist() for c in ("key", "host", "family", "texts", "open")]
+        shards, needed = (table.column(c)[0].as_py() for c in ("shards", "needed"))
+        columns = [table.column(c).to_pylist() for c in ("key", "host", "family", "texts", "zones")]
         rows = sorted({row[0]: row for row in zip(*columns, strict=True)}.values(), key=lambda row: row[0])
         numbers: dict[str, int] = {}
         streams, ids, page, same = [], [], [], {}
         for k, (_, _, family, texts, _) in enumerate(rows):
-            tokens = tokens_of(texts)
+            tokens = tokens_of(unpacked(texts))
             streams.append(tokens)
             ids += [numbers.setdefault(t, len(numbers)) for t in tokens]
             ids.append(-1 - k)
             # near copies are one page: they do not make text a template
             page += [same.setdefault(family, len(same))] * (len(tokens) + 1)
         bounds = np.cumsum([0, *(len(s) + 1 for s in streams)])
-        hits = repeated(np.array(ids, dtype=np.int64), np.array(page, dtype=np.int64), min_run, needed)
+        ids, page = np.array(ids, dtype=np.int64), np.array(page, dtype=np.int64)
+        # of needed pages in all shards, one shard at least holds its part
+        part = repeated(ids, page, min_run, -(-needed // shards)) if shards > 1 else []
+        hits = repeated(ids, page, min_run, needed)
+        likely: set[int] = set()
         out = []
-        for k, (key, host, family, texts, is_open) in enumerate(rows):
+        for k, (key, host, family, texts, zones) in enumerate(rows):
             low, high = np.searchsorted(hits, bounds[k : k + 2])
-            # hosts of several shards are compared by the hashes of all their runs
-            grams = run_hashes(streams[k], min_run) if several else []
-            starts = (hits[low:high] - bounds[k]).tolist()
-            out.append((key, host, family, texts, is_open, starts, list(range(len(grams))), grams))
+            if shards > 1:
+                first, last = np.searchsorted(part, bounds[k : k + 2])
+                grams, at = run_hashes(streams[k], min_run), part[first:last] - bounds[k]
+                likely.update(grams[at[at < len(grams)]].tolist())
+            out.append([key, host, family, texts, zones, shards > 1, (hits[low:high] - bounds[k]).tolist(), []])
+        out[0][-1] = sorted(likely)
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
 
     return run
 
 
-def run_hashes(tokens: list[str], min_run: int) -> list[int]:
+def run_hashes(tokens: list[str], min_run: int) -> np.ndarray:
     """Signed 64-bit hashes of the runs of ``min_run`` tokens."""
-    joined = [t.encode("utf-8", "surrogatepass") for t in tokens]
-    return [
-        int.from_bytes(xxhash.xxh64_digest(b" ".join(joined[k : k + min_run])), "big", signed=True)
-        for k in range(len(joined) - min_run + 1)
-    ]
+    own = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in tokens], dtype=np.uint64)
+    n = max(0, len(own) - min_run + 1)
+    joined = np.zeros(n, dtype=np.uint64)
+    for k, step in enumerate(mixed(np.arange(1, min_run + 1, dtype=np.uint64)) | np.uint64(1)):
+        joined += own[k : k + n] * step
+    return mixed(joined).view(np.int64)
+
+
+def _runs(min_run: int):
+    """Every run of the pages by its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _PAGES):
+                pages = batch.slice(at, _PAGES)
+                grams = [run_hashes(tokens_of(unpacked(texts)), min_run) for texts in pages.column(3).to_pylist()]
+                counts = [len(g) for g in grams]
+                own = pages.select([0, 1, 2]).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+                starts = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(starts), pa.array(np.concatenate(grams))], ["host", "key", "family", "start", "gram"]
+                )
+
+    return run
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key, host, pages = (batch.column(k).to_pylist() for k in range(3))
-        out = {"key": key, "host": host, "page": [], "n_tokens": [], "texts": [], "open": [], "values": [], "bands": []}
+        out = {"key": key, "host": host, "page": [], "n_tokens": [], "texts": [], "zones": [], "values": [], "bands": []}
         read = [markup.read(text).blocks for text in pages]
         whole = ["\n".join(t for _, t in blocks) for blocks in read]
         for blocks, text, values in zip(read, whole, min_hashes(whole), strict=True):
-            outside = [(z, t) for z, t in blocks if z != markup.ARTICLE]
-            texts = [t for _, t in outside]
-            out["texts"].append(texts)
-            out["open"].append([z == markup.OPEN for z, _ in outside])
+            texts = [t for _, t in blocks]
+            out["texts"].append(packed(texts))
+            out["zones"].append(bytes(_ZONES.index(z) for z, _ in blocks))
             out["page"].append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
             out["values"].append(values.astype(np.uint8).tobytes())
             out["bands"].append(bands_of(values))
             out["n_tokens"].append(sum(len(t.split()) + 1 for t in texts))
         schema = pa.schema(
             [("key", pa.string()), ("host", pa.string()), ("page", pa.int64()), ("n_tokens", pa.int64()),
-             ("texts", pa.list_(pa.string())), ("open", pa.list_(pa.bool_())), ("values", pa.binary()),
-             ("bands", pa.list_(pa.int64()))]
-        )
+             ("texts", pa.binary()), ("zones", pa.binary()), ("values", pa.binary()), ("bands", pa.list_(pa.int64()))]
+        )
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
 def _keep(min_run: int):
-    """Open text without its covered runs, and how many words outside the article were covered and were not."""
+    """The declared article, or open text without its covered runs; how many of the page's words were covered and were not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pydict()
             kept, covered, unique = [], [], []
-            for texts, is_open, starts, more in zip(rows["texts"], rows["open"], rows["starts"], rows["more"], strict=True):
+            for packed_texts, zones, starts, more in zip(rows["texts"], rows["zones"], rows["starts"], rows["more"], strict=True):
+                texts = unpacked(packed_texts)
                 n = sum(len(t.split()) + 1 for t in texts)
                 marks = np.zeros(n + 1, dtype=np.int64)
                 at = np.array([*(starts or []), *(more or [])], dtype=np.int64)
                 np.add.at(marks, at, 1)
                 np.add.at(marks, np.minimum(at + min_run, n), -1)
                 gone = np.cumsum(marks)[:n] > 0
+                declared = _ZONES.index(markup.ARTICLE) in zones
                 place, blocks, lost, left = 0, [], 0, 0
-                for text, may in zip(texts, is_open, strict=True):
+                for text, zone in zip(texts, zones, strict=True):
                     words = text.split()
                     stays = [w for w, g in zip(words, gone[place : place + len(words)], strict=True) if not g]
                     place += len(words) + 1
                     lost, left = lost + len(words) - len(stays), left + len(stays)
-                    if may and stays:
+                    if declared and _ZONES[zone] == markup.ARTICLE:
+                        blocks.append(text)
+                    elif not declared and _ZONES[zone] == markup.OPEN and stays:
                         blocks.append(" ".join(stays))
-                kept.append("\n".join(blocks))
+                kept.append(packed(blocks))
                 covered.append(lost)
                 unique.append(left)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(kept, pa.string()), pa.array(covered, pa.int64()), pa.array(unique, pa.int64())],
-                ["key", "open_text", "n_template_words", "n_unique_words"],
+                [batch.column(0), pa.array(kept, pa.binary()), pa.array(covered, pa.int64()), pa.array(unique, pa.int64())],
+                ["key", "kept", "n_template_words", "n_unique_words"],
             )
 
     return run
 
 
-@F.arrow_udf(T.BinaryType())
-def article_text(pages: pa.Array) -> pa.Array:
-    """The declared article's blocks, one per line, compressed for the way to the join; null if there is none."""
-    found = []
-    for page in pages:
-        blocks = markup.read(page.as_py()).article()
-        found.append(zstandard.compress("\n".join(blocks).encode("utf-8", "surrogatepass")) if blocks else None)
-    return pa.array(found, pa.binary())
-
-
 @F.arrow_udf(T.StringType())
-def unpacked(texts: pa.Array) -> pa.Array:
+def plain(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else zstandard.decompress(t).decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
 
 
@@ -302,8 +325,8 @@ def extract(
 
     ``text``: the declared article, or on a page without one the open blocks less the runs its host repeats.
     Null and empty pages have empty text. Pages without a readable host share the empty host. Repeated rows
-    and near copies count as one page and give a row each. A very long page is read whole, its words outside the
-    article are one stream of one shard. Runs that stand on equally many pages are treated alike, so ties decide
+    and near copies count as one page and give a row each. A very long page is read whole, its words are
+    one stream of one shard. Runs that stand on equally many pages are treated alike, so ties decide
     nothing. An empty table gives an empty one. Other columns, whatever their names, are ignored.
     """
     blank = F.lit("")
@@ -328,22 +351,21 @@ def extract(
     dealt = dealt.repartition("host", "shard")
     found = dealt.groupBy("host", "shard").applyInArrow(_shard(min_run), _FOUND)
     found = stored(found, "runs")
-    several = F.size("grams") > 0
-    runs = found.filter(several).select("host", "key", "family", F.explode(F.arrays_zip("loose", "grams")).alias("run"))
-    runs = runs.select("host", "key", "family", F.col("run.loose").alias("start"), F.col("run.grams").alias("gram"))
+    likely = stored(found.filter("several").select("host", F.explode("likely").alias("gram")).distinct(), "likely_runs")
+    runs = found.filter("several").select("host", "key", "family", "texts").mapInArrow(_runs(min_run), _RUNS)
+    runs = stored(runs.join(likely, ["host", "gram"]), "template_runs")
     often = (
         runs.groupBy("host", "gram", "family").agg(F.lit(1).alias("one"))
         .groupBy("host", "gram").agg(F.count("*").alias("n_pages"))
         .join(sizes, "host").filter("n_pages >= needed").select("host", "gram")
     )
     more = runs.join(often, ["host", "gram"]).groupBy("key").agg(F.collect_list("start").alias("more"))
-    needed = ["key", "texts", "open", "starts"]
-    alone = found.filter(~several).select(*needed, F.array().cast("array<int>").alias("more"))
-    known = alone.unionByName(found.filter(several).select(*needed).join(more, "key", "left"))
-    kept = known.mapInArrow(_keep(min_run), "key string, open_text string, n_template_words bigint, n_unique_words bigint")
-    texts = rows.select("key", "page_id", "url", article_text(F.col("html")).alias("article")).join(kept, "key", "left")
-    texts = texts.withColumn("article", unpacked(F.col("article")))
-    text = F.coalesce("article", "open_text", blank)
+    needed = ["key", "texts", "zones", "starts"]
+    alone = found.filter("not several").select(*needed, F.array().cast("array<int>").alias("more"))
+    known = alone.unionByName(found.filter("several").select(*needed).join(more, "key", "left"))
+    kept = known.mapInArrow(_keep(min_run), "key string, kept binary, n_template_words bigint, n_unique_words bigint")
+    texts = rows.select("key", "page_id", "url").join(kept, "key", "left")
+    text = F.coalesce(plain(F.col("kept")), blank)
     none = F.lit(0).cast("long")
     return texts.select("page_id", "url", text.alias("text"), "n_template_words", "n_unique_words").select(
         "page_id",

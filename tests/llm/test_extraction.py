@@ -187,3 +187,16 @@ def test_families_are_near_copies_only(spark):
     rows.append(("other", 8, *rows[0][2:]))
     found = extraction.families(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.page, r.family) for r in found) == [(0, 0), (1, 0), (2, 0), (5, 5), (6, 5)]
+
+
+@pytest.mark.parametrize("shard", [100, 200_000])
+def test_words_of_declared_articles_are_in_the_streams(spark, shard):
+    shared = " ".join(prose(97, 15))
+    rows = [(k, "http://a.org/x", f"<nav>menu {k}</nav><article><p>{shared}</p><p>{' '.join(prose(k, 60))}</p></article>") for k in range(20)]
+    rows.append((20, "http://a.org/x", f"<p>{shared}</p><p>{' '.join(prose(20, 60))}</p>"))
+    found = {r.page_id: r for r in extraction.extract(spark.createDataFrame(rows, SCHEMA), shard_tokens=shard).collect()}
+    # a run that articles repeat is found: it is counted there, and it is no text of a page without article
+    assert all(found[k].text == f"{shared}\n{' '.join(prose(k, 60))}" for k in range(20))
+    assert found[20].text == " ".join(prose(20, 60))
+    assert all(found[k].n_template_words == 15 for k in range(21))
+    assert [found[k].n_unique_words for k in (0, 20)] == [62, 60]
