@@ -1,8 +1,11 @@
 """HTML extraction with host suffix arrays.
 
-1. Tasks read each page's blocks (``markup``): the declared article, furniture by markup, and open blocks.
-2. All words of the pages, those of declared articles too, are the host's token streams. A host's pages are dealt into shards of
-   bounded size; in each, the streams are concatenated and a suffix array with common-prefix
+1. A host's pages are dealt into shards of bounded size, by the length of its pages' HTML. Tasks read each page's blocks
+   (``markup``): the declared article, furniture by markup, and open blocks. Each shard becomes one row of a bucketed table, with the
+   words of its pages compressed together. That is the only time that texts cross the network: every later step
+   reads the shards in place and joins them with small tables.
+2. All words of the pages, those of declared articles too, are the host's token streams. In each shard
+   the streams are concatenated and a suffix array with common-prefix
    lengths gives all substrings of at least ``MIN_RUN`` tokens that occur on ``SHARE`` of the host's distinct
    pages, but on ``MIN_PAGES`` at least: a sentence that two pages quote is none, however large the host.
    Pages whose whole words (article included) are near copies count as one page: those that share a band of
@@ -13,11 +16,12 @@
    of a declared article is kept whole, however often it is repeated, and on pages that declare
    an article nothing outside of it is text.
 
-A page is parsed once; its blocks travel compressed.
+A page is parsed once. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,32 +35,30 @@ from pyspark.sql import types as T
 from passbook.llm import markup, textbatch
 from passbook.llm.columns import quoted
 from passbook.llm.textbatch import mixed
-from passbook.workspace import stored
+from passbook.workspace import fresh_path, stored
 
 MIN_RUN = 10  # tokens of a repeated substring; a block's end is a token
 MIN_PAGES = 3
 SHARE = 0.3  # of a host's distinct pages
 SHARD_TOKENS = 50_000
+CHARS = 6  # of HTML for a token, when pages are dealt before they are read
+ROW_SHARDS = 16  # shards of a bucket, about
+MAX_BUCKETS = 20_000
+LEVEL = 6  # of compression
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SHINGLE = 5
 VALUES = 64  # MinHash values of a page
 BAND = 4  # values that a band joins: a pair at similarity 0.8 misses all 16 bands once in 5,000
 ALIKE = 48  # values of near copies that agree: 51 are expected at similarity 0.8, with a deviation of 3
 
-_STREAM = "key string, host string, page bigint, n_tokens bigint, texts binary, zones binary, values binary, bands array<bigint>"
-_FOUND = (
-    "key string, host string, family bigint, texts binary, zones binary, several boolean, starts array<int>, likely array<bigint>"
-)
-_RUNS = "host string, key string, family bigint, start int, gram bigint"
+_FOUND = "host string, shard int, several boolean, starts array<int>, likely array<bigint>"
+_RUNS = "host string, shard int, family bigint, start int, gram bigint"
 _ZONES = (markup.ARTICLE, markup.OPEN, markup.FURNITURE)
 
 
 def packed(texts: list[str]) -> bytes:
-    """Blocks (they hold no line ends), compressed."""
-    return zstandard.compress("\n".join(texts).encode("utf-8", "surrogatepass"))
-
-
-def unpacked(texts: bytes) -> list[str]:
-    return zstandard.decompress(texts).decode("utf-8", "surrogatepass").split("\n")
+    """Blocks (they hold no line ends), each ended by one, compressed."""
+    return zstandard.compress("".join(f"{t}\n" for t in texts).encode("utf-8", "surrogatepass"), LEVEL)
 
 
 def host_of(url):
@@ -67,7 +69,7 @@ def host_of(url):
 _SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _PART = 4096  # shingles hashed at once
-_PAGES = 64  # pages whose runs are handed on at once
+_PAGES = 64  # pages handed on at once
 _STEPS = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -93,14 +95,22 @@ def min_hashes(texts: list[str]) -> Iterator[np.ndarray]:
 
 
 def bands_of(values: np.ndarray) -> list[int]:
-    """A signed hash for each band of ``BAND`` values."""
-    rows = values.reshape(-1, BAND)
-    found = np.arange(len(rows), dtype=np.uint64)
+    """A signed hash for each band of ``BAND`` values, page by page."""
+    rows = values.reshape(-1, BAND).astype(np.uint64)
+    found = np.tile(np.arange(VALUES // BAND, dtype=np.uint64), len(rows) * BAND // VALUES)
     for k in range(BAND):
         found = mixed(found ^ rows[:, k])
     return found.view(np.int64).tolist()
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def bands(values: pa.Array) -> pa.Array:
+    """Bands of the kept bytes of pages' values: what agrees by chance ``alike`` tells apart."""
+    found = bands_of(np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8))
+    ends = np.arange(0, len(found) + 1, VALUES // BAND, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(found, pa.int64()))
+
+
 @F.arrow_udf(T.BooleanType())
 def alike(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether pages agree in ``ALIKE`` of their values, of which the last byte is kept."""
@@ -114,20 +124,34 @@ def families(streams: DataFrame) -> DataFrame:
     In each band the least page is the one that all others are compared with, so a group of copies
     costs a row for each page and band, never a pair of copies.
     """
-    each = streams.filter("n_tokens > 0").select("host", "page", "values", F.explode("bands").alias("band"))
-    first = each.groupBy("host", "band").agg(F.min(F.struct("page", "values")).alias("first"), F.max("page").alias("last"))
-    first = first.filter("first.page < last").drop("last")
-    near = each.join(first, ["host", "band"]).filter(alike(F.col("values"), F.col("first.values")))
-    return near.groupBy("host", "page").agg(F.min("first.page").alias("family"))
-
-
-def tokens_of(texts: list[str]) -> list[str]:
-    """Words of the blocks, each block ended by a mark."""
-    found: list[str] = []
-    for text in texts:
-        found += text.split()
-        found.append("\n")
-    return found
+    values = streams.filter("n_tokens > 0").select("host", "page", "values")
+    each = streams.filter("n_tokens > 0").select("host", "page", F.explode("bands").alias("band"))
+    first = each.groupBy("host", "band").agg(F.min("page").alias("first"), F.max("page").alias("last"))
+    # values follow only to pages that share a band with another
+    first = stored(first.filter("first < last").drop("last"), "bands")
+    pairs = stored(each.join(first, ["host", "band"]).select("host", "page", "first").distinct(), "pairs")
+    ends = pairs.select("host", "page").union(pairs.select("host", "first")).distinct()
+    known = stored(values.join(ends, ["host", "page"], "left_semi").dropDuplicates(["host", "page"]), "values")
+    least = known.select("host", F.col("page").alias("first"), F.col("values").alias("_least"))
+    near = pairs.join(known, ["host", "page"]).join(least, ["host", "first"]).filter(alike(F.col("values"), F.col("_least")))
+    return near.groupBy("host", "page").agg(F.min("first").alias("family"))
+
+
+_WORD = textbatch.byte_class(b" \n")
+
+
+def tokens_of(texts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens, in order: words, and each block's end; and which are such ends."""
+    data = np.frombuffer(texts, dtype=np.uint8)
+    word, end = _WORD[data], data == 10
+    inside = np.zeros(len(data), dtype=bool)
+    inside[1:] = word[:-1] & word[1:]
+    starts = np.flatnonzero(word & ~inside | end)
+    blank = np.flatnonzero(~word)  # one follows every word: blocks are ended
+    marks = end[starts]
+    ends = np.where(marks, starts + 1, blank[np.searchsorted(blank, starts)])
+    spans = textbatch.Words(0, 1, data, starts, ends, np.zeros(0), np.zeros(0), np.zeros(0))
+    return spans.hashes(), marks
 
 
 def suffix_array(ids: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,11 +160,18 @@ def suffix_array(ids: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
     order, step = np.argsort(rank, kind="stable"), 1
+    width = np.int64(max(1, n).bit_length())
     while step < min(n, limit):
-        later = np.full(n, -1, dtype=np.int64)
-        later[:-step] = rank[step:]
-        order = np.lexsort((later, rank))
-        changed = (rank[order][1:] != rank[order][:-1]) | (later[order][1:] != later[order][:-1])
+        later = np.zeros(n, dtype=np.int64)
+        later[:-step] = rank[step:] + 1
+        pair = rank << width | later
+        if 3 * int(width) < 63:  # with its place each pair is one number, and numbers sort fast
+            placed = np.sort(pair << width | np.arange(n))
+            order, pair = placed & ((1 << width) - 1), placed >> width
+        else:
+            order = np.argsort(pair, kind="stable")
+            pair = pair[order]
+        changed = pair[1:] != pair[:-1]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.concatenate(([0], np.cumsum(changed)))
         if changed.all():
@@ -173,61 +204,67 @@ def repeated(ids: np.ndarray, page: np.ndarray, min_run: int, min_pages: int) ->
         return np.empty(0, dtype=np.int64)
     order, shared = suffix_array(ids, min_run)
     group = np.cumsum(shared < min_run) - 1  # suffixes that agree in min_run tokens stand together
-    pairs = np.unique(np.stack((group, page[order])), axis=1)
-    pages = np.bincount(pairs[0], minlength=group[-1] + 1)
+    count = int(page.max()) + 1
+    pairs = np.unique(group * count + page[order])
+    pages = np.bincount(pairs // count, minlength=group[-1] + 1)
     return np.sort(order[pages[group] >= min_pages])
 
 
-_FOUND_ARROW = pa.schema(
-    [("key", pa.string()), ("host", pa.string()), ("family", pa.int64()), ("texts", pa.binary()), ("zones", pa.binary()),
-     ("several", pa.bool_()), ("starts", pa.list_(pa.int32())), ("likely", pa.list_(pa.int64()))]
-)
+class _Shard:
+    """A row of the shards' table: its pages' tokens one after another."""
+
+    def __init__(self, row: dict):
+        self.raw = zstandard.decompress(row["texts"])
+        self.tokens, self.marks = tokens_of(self.raw)
+        self.bounds = np.cumsum([0, *row["n_tokens"]])
+        same = {p["page"]: p["family"] for p in row.get("families") or []}
+        self.families = [same.get(p, p) for p in row["page"]] if "page" in row else []
+
+    def runs(self, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and signed 64-bit hash of each run of ``min_run`` tokens within a page."""
+        n = max(0, len(self.tokens) - min_run + 1)
+        joined = np.zeros(n, dtype=np.uint64)
+        for k, step in enumerate(mixed(np.arange(1, min_run + 1, dtype=np.uint64)) | np.uint64(1)):
+            joined += self.tokens[k : k + n] * step
+        page = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        inside = np.flatnonzero(page[:n] == page[min_run - 1 :]) if n else np.empty(0, dtype=np.int64)
+        return inside, mixed(joined[inside]).view(np.int64)
+
+    def repeated(self, min_run: int, count: int) -> np.ndarray:
+        """Where runs start that occur on ``count`` pages."""
+        # near copies are one page: they do not make text a template
+        numbers: dict[int, int] = {}
+        page = np.array([numbers.setdefault(f, len(numbers)) for f in self.families], dtype=np.int64)
+        sizes = np.diff(self.bounds)
+        # each page ends with a number of its own
+        ids = np.insert(np.unique(self.tokens, return_inverse=True)[1].astype(np.int64), self.bounds[1:], -1 - np.arange(len(sizes)))
+        places = np.insert(np.arange(len(self.tokens)), self.bounds[1:], -1)
+        return places[repeated(ids, np.repeat(page, sizes + 1), min_run, count)]
 
 
 def _shard(min_run: int):
-    """The streams of a shard, repeated rows once, with the template runs found in it."""
-
-    def run(table: pa.Table) -> pa.Table:
-        shards, needed = (table.column(c)[0].as_py() for c in ("shards", "needed"))
-        columns = [table.column(c).to_pylist() for c in ("key", "host", "family", "texts", "zones")]
-        rows = sorted({row[0]: row for row in zip(*columns, strict=True)}.values(), key=lambda row: row[0])
-        numbers: dict[str, int] = {}
-        streams, ids, page, same = [], [], [], {}
-        for k, (_, _, family, texts, _) in enumerate(rows):
-            tokens = tokens_of(unpacked(texts))
-            streams.append(tokens)
-            ids += [numbers.setdefault(t, len(numbers)) for t in tokens]
-            ids.append(-1 - k)
-            # near copies are one page: they do not make text a template
-            page += [same.setdefault(family, len(same))] * (len(tokens) + 1)
-        bounds = np.cumsum([0, *(len(s) + 1 for s in streams)])
-        ids, page = np.array(ids, dtype=np.int64), np.array(page, dtype=np.int64)
-        # of needed pages in all shards, one shard at least holds its part
-        part = repeated(ids, page, min_run, -(-needed // shards)) if shards > 1 else []
-        hits = repeated(ids, page, min_run, needed)
-        likely: set[int] = set()
-        out = []
-        for k, (key, host, family, texts, zones) in enumerate(rows):
-            low, high = np.searchsorted(hits, bounds[k : k + 2])
-            if shards > 1:
-                first, last = np.searchsorted(part, bounds[k : k + 2])
-                grams, at = run_hashes(streams[k], min_run), part[first:last] - bounds[k]
-                likely.update(grams[at[at < len(grams)]].tolist())
-            out.append([key, host, family, texts, zones, shards > 1, (hits[low:high] - bounds[k]).tolist(), []])
-        out[0][-1] = sorted(likely)
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
-
-    return run
+    """The template runs found in each shard."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                shards, needed = row["shards"], row["needed"]
+                shard, hits, likely = _Shard(row), [], []
+                if shards > 1:
+                    # of needed pages in all shards, one shard at least holds its part
+                    at, grams = shard.runs(min_run)
+                    part = shard.repeated(min_run, -(-needed // shards))
+                    likely = np.unique(grams[np.isin(at, part)])
+                else:
+                    hits = shard.repeated(min_run, needed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["host"]], pa.string()), pa.array([row["shard"]], pa.int32()), pa.array([shards > 1]),
+                     pa.array([hits], pa.list_(pa.int32())), pa.array([likely], pa.list_(pa.int64()))],
+                    ["host", "shard", "several", "starts", "likely"],
+                )
 
-def run_hashes(tokens: list[str], min_run: int) -> np.ndarray:
-    """Signed 64-bit hashes of the runs of ``min_run`` tokens."""
-    own = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in tokens], dtype=np.uint64)
-    n = max(0, len(own) - min_run + 1)
-    joined = np.zeros(n, dtype=np.uint64)
-    for k, step in enumerate(mixed(np.arange(1, min_run + 1, dtype=np.uint64)) | np.uint64(1)):
-        joined += own[k : k + n] * step
-    return mixed(joined).view(np.int64)
+    return run
 
 
 def _runs(min_run: int):
@@ -235,38 +272,59 @@ def _runs(min_run: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _PAGES):
-                pages = batch.slice(at, _PAGES)
-                grams = [run_hashes(tokens_of(unpacked(texts)), min_run) for texts in pages.column(3).to_pylist()]
-                counts = [len(g) for g in grams]
-                own = pages.select([0, 1, 2]).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-                starts = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                shard = _Shard(row)
+                at, grams = shard.runs(min_run)
+                family = np.repeat(np.array(shard.families, dtype=np.int64), np.diff(shard.bounds))[at]
+                own = [pa.repeat(pa.scalar(row["host"], pa.string()), len(at)), pa.repeat(pa.scalar(row["shard"], pa.int32()), len(at))]
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.array(starts), pa.array(np.concatenate(grams))], ["host", "key", "family", "start", "gram"]
+                    [*own, pa.array(family), pa.array(at.astype(np.int32)), pa.array(grams)], ["host", "shard", "family", "start", "gram"]
                 )
 
     return run
 
 
+_READ = "n bigint, page bigint, n_tokens bigint, texts binary, zones binary, values binary"
+_READ_ARROW = [("n", pa.int64()), ("page", pa.int64()), ("n_tokens", pa.int64()), ("texts", pa.binary()),
+               ("zones", pa.binary()), ("values", pa.binary())]
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages read: equal rows of a batch once, with their number."""
     for batch in batches:
-        key, host, pages = (batch.column(k).to_pylist() for k in range(3))
-        out = {"key": key, "host": host, "page": [], "n_tokens": [], "texts": [], "zones": [], "values": [], "bands": []}
-        read = [markup.read(text).blocks for text in pages]
-        whole = ["\n".join(t for _, t in blocks) for blocks in read]
-        for blocks, text, values in zip(read, whole, min_hashes(whole), strict=True):
-            texts = [t for _, t in blocks]
-            out["texts"].append(packed(texts))
-            out["zones"].append(bytes(_ZONES.index(z) for z, _ in blocks))
-            out["page"].append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
-            out["values"].append(values.astype(np.uint8).tobytes())
-            out["bands"].append(bands_of(values))
-            out["n_tokens"].append(sum(len(t.split()) + 1 for t in texts))
-        schema = pa.schema(
-            [("key", pa.string()), ("host", pa.string()), ("page", pa.int64()), ("n_tokens", pa.int64()),
-             ("texts", pa.binary()), ("zones", pa.binary()), ("values", pa.binary()), ("bands", pa.list_(pa.int64()))]
-        )
-        yield pa.RecordBatch.from_pydict(out, schema=schema)
+        seen: dict[str, int] = {}
+        for key in batch.column("key").to_pylist():
+            seen[key] = seen.get(key, 0) + 1
+        left = dict(seen)
+        first = [k for k, key in enumerate(batch.column("key").to_pylist()) if left.pop(key, None)]
+        batch = batch.take(pa.array(first, pa.int64()))
+        for at in range(0, batch.num_rows, _PART):
+            pages = batch.slice(at, _PART)
+            out = {name: [] for name, _ in _READ_ARROW}
+            out["n"] = [seen[key] for key in pages.column("key").to_pylist()]
+            read = [markup.read(text).blocks for text in pages.column("html").to_pylist()]
+            whole = ["\n".join(t for _, t in blocks) for blocks in read]
+            for blocks, text, values in zip(read, whole, min_hashes(whole), strict=True):
+                texts = [t for _, t in blocks]
+                out["texts"].append(packed(texts))
+                out["zones"].append(bytes(_ZONES.index(z) for z, _ in blocks))
+                out["page"].append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
+                out["values"].append(values.astype(np.uint8).tobytes())
+                out["n_tokens"].append(sum(t.count(" ") + 2 for t in texts))
+            same = [pages.column(c) for c in ("host", "shard", "page_id", "url")]
+            own = [pa.array(out[name], kind) for name, kind in _READ_ARROW]
+            yield pa.RecordBatch.from_arrays([*same, *own], ["host", "shard", "page_id", "url", *out])
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """A shard's pages as one row."""
+    host, shard = table.column("host")[:1], table.column("shard")[:1]
+    texts = zstandard.compress(b"".join(zstandard.decompress(t) for t in table.column("texts").to_pylist()), LEVEL)
+    lists = ("page_id", "url", "n", "page", "n_tokens", "zones", "values")
+    ends = pa.array([0, table.num_rows], pa.int32())
+    columns = [pa.ListArray.from_arrays(ends, pa.concat_arrays(table.column(c).chunks)) for c in lists]
+    return pa.table([host, shard, pa.array([texts], pa.binary()), *columns], ["host", "shard", "texts", *lists])
 
 
 def _keep(min_run: int):
@@ -274,41 +332,65 @@ def _keep(min_run: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
-            kept, covered, unique = [], [], []
-            for packed_texts, zones, starts, more in zip(rows["texts"], rows["zones"], rows["starts"], rows["more"], strict=True):
-                texts = unpacked(packed_texts)
-                n = sum(len(t.split()) + 1 for t in texts)
-                marks = np.zeros(n + 1, dtype=np.int64)
-                at = np.array([*(starts or []), *(more or [])], dtype=np.int64)
-                np.add.at(marks, at, 1)
-                np.add.at(marks, np.minimum(at + min_run, n), -1)
-                gone = np.cumsum(marks)[:n] > 0
-                declared = _ZONES.index(markup.ARTICLE) in zones
-                place, blocks, lost, left = 0, [], 0, 0
-                for text, zone in zip(texts, zones, strict=True):
-                    words = text.split()
-                    stays = [w for w, g in zip(words, gone[place : place + len(words)], strict=True) if not g]
-                    place += len(words) + 1
-                    lost, left = lost + len(words) - len(stays), left + len(stays)
-                    if declared and _ZONES[zone] == markup.ARTICLE:
-                        blocks.append(text)
-                    elif not declared and _ZONES[zone] == markup.OPEN and stays:
-                        blocks.append(" ".join(stays))
-                kept.append(packed(blocks))
-                covered.append(lost)
-                unique.append(left)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(kept, pa.binary()), pa.array(covered, pa.int64()), pa.array(unique, pa.int64())],
-                ["key", "kept", "n_template_words", "n_unique_words"],
-            )
+            for k in range(batch.num_rows):
+                row = batch.select(["texts", "n", "n_tokens", "zones", "starts"]).slice(k, 1).to_pylist()[0]
+                shard = _Shard(row)
+                covers = np.zeros(len(shard.tokens) + 1, dtype=np.int64)
+                at = np.array(row["starts"] or [], dtype=np.int64)
+                np.add.at(covers, at, 1)
+                np.add.at(covers, at + min_run, -1)
+                gone = (np.cumsum(covers)[:-1] > 0) & ~shard.marks
+                lost = np.concatenate(([0], np.cumsum(gone)))[shard.bounds]
+                words = np.concatenate(([0], np.cumsum(~shard.marks)))[shard.bounds]
+                lines = shard.raw.decode("utf-8", "replace").split("\n")
+                kept, line = [], 0
+                for number, zones in enumerate(row["zones"]):
+                    texts = lines[line : line + len(zones)]
+                    line += len(zones)
+                    wanted = markup.ARTICLE if _ZONES.index(markup.ARTICLE) in zones else markup.OPEN
+                    if wanted == markup.OPEN and lost[number + 1] > lost[number]:
+                        place = shard.bounds[number]
+                        for j, text in enumerate(texts):
+                            own = text.split(" ")
+                            texts[j] = " ".join(w for w, g in zip(own, gone[place : place + len(own)], strict=True) if not g)
+                            place += len(own) + 1
+                    kept.append("\n".join(t for t, z in zip(texts, zones, strict=True) if t and _ZONES[z] == wanted))
+                covered, total = np.diff(lost), np.diff(words)
+                out = pa.RecordBatch.from_arrays(
+                    [batch.column("page_id")[k].values, batch.column("url")[k].values, pa.array(kept, pa.string()),
+                     pa.array(covered), pa.array(total - covered)],
+                    ["page_id", "url", "text", "n_template_words", "n_unique_words"],
+                )
+                for first in range(0, len(kept), _PAGES):
+                    pages, times = out.slice(first, _PAGES), row["n"][first : first + _PAGES]
+                    for part in range(0, sum(times), _PAGES) if max(times) > 1 else ():
+                        yield pages.take(pa.array(np.repeat(np.arange(len(times)), times)[part : part + _PAGES]))
+                    if max(times) == 1:
+                        yield pages
 
     return run
 
 
-@F.arrow_udf(T.StringType())
-def plain(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else zstandard.decompress(t).decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+def _in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    """``host, shard, texts, …``: a row for each shard, in a bucketed table, so that joins on both columns leave it in place."""
+    spark, name = rows.sparkSession, f"passbook_{uuid.uuid4().hex}"
+    fields = {f.name: f.dataType for f in rows.schema.fields}
+    lists = ("page_id", "url", "n", "page", "n_tokens", "zones", "values")
+    layout = T.StructType([
+        T.StructField("host", T.StringType()), T.StructField("shard", T.IntegerType()), T.StructField("texts", T.BinaryType()),
+        *(T.StructField(c, T.ArrayType(fields[c])) for c in lists),
+    ])
+    shards = rows.repartition(buckets, "host", "shard").groupBy("host", "shard").applyInArrow(_gather, layout)
+    path = fresh_path(spark, "shards")
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # the shuffle's files go when the table is written
+    try:
+        shards.write.bucketBy(buckets, "host", "shard").option("path", path).format("parquet").saveAsTable(name)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay: the path is not the catalog's
+    return table
 
 
 def extract(
@@ -334,44 +416,51 @@ def extract(
         quoted(id_column).alias("page_id"), quoted(url_column).alias("url"), quoted(html_column).alias("html")
     )
     parts = [F.md5(F.coalesce(F.col(c).cast("string"), blank).cast("binary")) for c in ("page_id", "url", "html")]
-    rows = rows.withColumn("key", F.md5(F.concat(*parts).cast("binary")))
-    read = rows.select("key", host_of(F.col("url")).alias("host"), "html").mapInArrow(_streams, _STREAM)
-    streams = stored(read, "streams")
+    rows = rows.withColumn("host", host_of(F.col("url")))
+    chars = F.sum(F.coalesce(F.length("html"), F.lit(0)) + 1)
+    sizes = rows.groupBy("host").agg(F.ceil(chars / F.lit(CHARS * shard_tokens)).cast("int").alias("shards"))
+    sizes = stored(sizes, "sizes")
+    total = sizes.agg(F.sum("shards")).first()[0] or 0
+    buckets = min(MAX_BUCKETS, 1 + total // ROW_SHARDS)
+    # one row for each host of several shards: few, whatever the number of hosts
+    rows = rows.join(F.broadcast(sizes.filter("shards > 1")), "host", "left").withColumn("key", F.md5(F.concat(*parts).cast("binary")))
+    shard = F.pmod(F.xxhash64("key"), F.coalesce("shards", F.lit(1))).cast("int").alias("shard")
+    rows = rows.select("host", shard, "page_id", "url", "key", "html")
+    layout = T.StructType([*rows.select("host", "shard", "page_id", "url").schema.fields, *T._parse_datatype_string(_READ).fields])
+    shards = _in_buckets(rows.mapInArrow(_streams, layout), buckets)
+
+    streams = shards.select("host", "shard", F.inline(F.arrays_zip("page", "n_tokens", "values")))
+    streams = streams.withColumn("bands", bands("values"))
     near = stored(families(streams), "families")
     whole = F.coalesce("family", "page")
     distinct = streams.filter("n_tokens > 0").select("host", "page").join(near, ["host", "page"], "left")
     counts = distinct.select("host", whole.alias("family")).distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     needed = F.greatest(F.lit(min_pages), F.ceil(F.col("n_pages") * F.lit(share))).cast("int")
-    sizes = streams.groupBy("host").agg(F.ceil(F.sum("n_tokens") / F.lit(shard_tokens)).cast("int").alias("shards"))
-    sizes = stored(sizes.join(counts, "host").select("host", "shards", needed.alias("needed")), "hosts")
-    dealt = streams.filter("n_tokens > 0").drop("values", "bands").join(near, ["host", "page"], "left")
-    dealt = dealt.withColumn("family", whole).drop("page", "n_tokens").join(sizes, "host")
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("key"), F.col("shards")))
-    # dealt by both: rows that the join has dealt by host would otherwise stay together, all shards of a host
-    dealt = dealt.repartition("host", "shard")
-    found = dealt.groupBy("host", "shard").applyInArrow(_shard(min_run), _FOUND)
-    found = stored(found, "runs")
+    dealt = shards.select("host", "shard").groupBy("host").agg(F.count("*").cast("int").alias("shards"))
+    hosts = stored(dealt.join(counts, "host").select("host", "shards", needed.alias("needed")), "hosts")
+    alike_pages = streams.select("host", "shard", "page").join(near, ["host", "page"])
+    alike_pages = alike_pages.groupBy("host", "shard").agg(F.collect_set(F.struct("page", "family")).alias("families"))
+    notes = shards.select("host", "shard").join(hosts, "host").join(alike_pages, ["host", "shard"], "left")
+    notes = stored(notes, "notes")
+    words = shards.select("host", "shard", "texts", "page", "n_tokens")
+
+    found = stored(words.join(notes, ["host", "shard"]).mapInArrow(_shard(min_run), _FOUND), "runs")
     likely = stored(found.filter("several").select("host", F.explode("likely").alias("gram")).distinct(), "likely_runs")
-    runs = found.filter("several").select("host", "key", "family", "texts").mapInArrow(_runs(min_run), _RUNS)
+    several = stored(notes.join(likely.select("host").distinct(), "host", "left_semi"), "searched")
+    runs = words.join(several, ["host", "shard"]).mapInArrow(_runs(min_run), _RUNS)
     runs = stored(runs.join(likely, ["host", "gram"]), "template_runs")
     often = (
         runs.groupBy("host", "gram", "family").agg(F.lit(1).alias("one"))
         .groupBy("host", "gram").agg(F.count("*").alias("n_pages"))
-        .join(sizes, "host").filter("n_pages >= needed").select("host", "gram")
+        .join(hosts, "host").filter("n_pages >= needed").select("host", "gram")
     )
-    more = runs.join(often, ["host", "gram"]).groupBy("key").agg(F.collect_list("start").alias("more"))
-    needed = ["key", "texts", "zones", "starts"]
-    alone = found.filter("not several").select(*needed, F.array().cast("array<int>").alias("more"))
-    known = alone.unionByName(found.filter("several").select(*needed).join(more, "key", "left"))
-    kept = known.mapInArrow(_keep(min_run), "key string, kept binary, n_template_words bigint, n_unique_words bigint")
-    texts = rows.select("key", "page_id", "url").join(kept, "key", "left")
-    text = F.coalesce(plain(F.col("kept")), blank)
-    none = F.lit(0).cast("long")
-    return texts.select("page_id", "url", text.alias("text"), "n_template_words", "n_unique_words").select(
-        "page_id",
-        "url",
-        "text",
-        F.length("text").cast("long").alias("n_chars"),
-        F.coalesce("n_template_words", none).alias("n_template_words"),
-        F.coalesce("n_unique_words", none).alias("n_unique_words"),
+    more = runs.join(often, ["host", "gram"]).groupBy("host", "shard").agg(F.collect_list("start").alias("starts"))
+    alone = found.filter("not several and size(starts) > 0").select("host", "shard", "starts")
+    marks = stored(alone.unionByName(more), "marks")
+    known = shards.drop("page", "values").join(marks, ["host", "shard"], "left")
+    kinds = rows.select("page_id", "url").schema.fields
+    counted = T._parse_datatype_string("text string, n_template_words bigint, n_unique_words bigint").fields
+    kept = known.mapInArrow(_keep(min_run), T.StructType([*kinds, *counted]))
+    return kept.select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template_words", "n_unique_words"
     )

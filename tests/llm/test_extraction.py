@@ -200,3 +200,17 @@ def test_words_of_declared_articles_are_in_the_streams(spark, shard):
     assert found[20].text == " ".join(prose(20, 60))
     assert all(found[k].n_template_words == 15 for k in range(21))
     assert [found[k].n_unique_words for k in (0, 20)] == [62, 60]
+
+
+def test_texts_cross_the_network_once(spark):
+    rows = [r[:3] for r in site(30)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = extraction.extract(spark.createDataFrame([*rows, *[rows[0]] * 200], SCHEMA).coalesce(1), shard_tokens=100)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        texts = sorted(r.text for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # only the marks of template runs are dealt, to where the shards are
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert texts == sorted([r[3] for r in site(30)] + [site(1)[0][3]] * 200)
