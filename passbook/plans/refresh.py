@@ -28,7 +28,7 @@ from passbook.plans.expectations import MODEL_TESTS
 from passbook.sources import landing
 from passbook.sources.calendar import dim_date
 from passbook.sources.martstore import BUCKET, BUCKETS, Build, bucket_of
-from passbook.workspace import temporary_tables
+from passbook.workspace import stored, temporary_tables
 
 SOURCES = ("customers", "accounts", "transactions")
 #: Which column deals a mart's rows. The logs hold the landing rows that decide a key's state.
@@ -98,10 +98,10 @@ class _Refresh:
             known = before.select("transaction_id", *(F.col(c).alias(f"_old_{c}") for c in [*POSITION, "from_account_id"]))
             pairs = log.join(known, "transaction_id", "left")
             same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in POSITION))
-            changed = pairs.filter(~same | F.col("_old__kafka_offset").isNull())
+            changed = stored(pairs.filter(~same | F.col("_old__kafka_offset").isNull()), "changed")
             # an earlier event may name another account: both lose or gain a row
-            moved = _touched(changed, "from_account_id", self.buckets) + _touched(changed, "_old_from_account_id", self.buckets)
-            affected = sorted({*accounts, *moved})
+            named = changed.select(F.explode(F.array("from_account_id", "_old_from_account_id")).alias("account"))
+            affected = sorted({*accounts, *_touched(named, "account", self.buckets)})
             first = changed.select(*log.columns)
         staged = staging.stg_transactions(first)
         owners = self.build.read("dim_accounts", affected).drop(BUCKET)
@@ -112,7 +112,8 @@ class _Refresh:
             plain = stay.withColumnRenamed("cdc_ingested_at_ms", "_cdc_ts_ms").drop("from_customer_id", "date_id")
             fact = fact.unionByName(marts.fact_transactions(plain, owners))
         fact = self.write("fact_transactions", fact, affected)
-        flags = with_flag_key(all_flags(anomaly.completed_with_features(fact, self.policy)), self.flagged_at)
+        featured = stored(anomaly.completed_with_features(fact, self.policy), "features")  # every rule reads them
+        flags = with_flag_key(all_flags(featured), self.flagged_at)
         self.write("mart_suspicious_transactions", flags, affected)
 
     def tests(self) -> DataFrame:
@@ -150,7 +151,7 @@ def _run(
         run.transactions(run.accounts())
         if whole:
             build.write("dim_date", dim_date(spark, anchor))
-        results = gate(run.tests())
+        results = gate(stored(run.tests(), "tests"))
         kept = spark.createDataFrame(results.collect(), results.schema)  # one row per test
     build.publish(landing=heads, buckets=buckets)
     return kept

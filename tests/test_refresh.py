@@ -8,7 +8,7 @@ from passbook.operators import envelope as ev
 from passbook.operators.quality import QualityError
 from passbook.plans import refresh
 from passbook.sources import landing, martstore, pointer
-from passbook.workspace import fresh_path
+from passbook.workspace import fresh_path, stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -113,3 +113,17 @@ def test_buckets_prune_and_null_keys_stay(spark):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert again.read("m", []).count() == 0
+
+
+def test_each_step_of_a_build_runs_once(spark, monkeypatch):
+    """The gate's tests, the features and the changed transactions are read often, and computed once."""
+    base, marts = (fresh_path(spark, n) for n in ("landing", "marts"))
+    kept = []
+    monkeypatch.setattr(refresh, "stored", lambda rows, label: kept.append(label) or stored(rows, label), raising=False)
+    land(base, {n: rows.filter("_kafka_offset % 5 > 0") for n, rows in logs(spark).items()})
+    refresh.full(spark, base, marts, anchor="2024-01-15", flagged_at=at(), buckets=2)
+    assert kept == ["features", "tests"]
+    land(base, {n: rows.filter("_kafka_offset % 5 = 0") for n, rows in logs(spark).items()})
+    kept.clear()
+    refresh.refresh(spark, base, marts, flagged_at=at())
+    assert kept == ["changed", "features", "tests"]
